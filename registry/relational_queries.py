@@ -122,8 +122,8 @@ def topic_centroid(spark, folder):
     f"""
     WITH whole AS (SELECT label, list(mean ORDER BY dim) AS c FROM ({CENTROIDS}) GROUP BY label),
     best AS (
-        SELECT vec_id, max(struct_pack(cosine := round(list_cosine_similarity(embedding::DOUBLE[], c), 6), topic := label)) AS b
-        FROM embeddings, whole GROUP BY vec_id
+        SELECT vec_id, max(struct_pack(cosine := round(list_cosine_similarity(embedding::DOUBLE[], c), 6), topic := topic)) AS b
+        FROM embeddings, (SELECT label AS topic, c FROM whole) GROUP BY vec_id
     )
     SELECT vec_id, b.topic AS topic, b.cosine AS cosine, NOT (b.topic IN (1, 4, 7) AND b.cosine >= 0.5) AS is_valid,
         CASE WHEN b.topic IN (1, 4, 7) THEN greatest(0::DOUBLE, b.cosine) ELSE 0::DOUBLE END AS risk_score

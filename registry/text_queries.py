@@ -378,7 +378,7 @@ SHOWN = "chr(10) || chr(13) || chr(9) || '" + ASCII + TAGS_IN + "'"
 HIDDEN = "'" + "".join(
     chr(0xE0000 + ord(letter)) for letter in "\n\r\t" + ASCII.replace("''", "'") + TAGS_IN
 ) + "'"
-INVISIBLE = r"[\p{Cf}\p{Co}\x{E0080}-\x{E00FF}]"
+INVISIBLE = r"[\p{Cf}\p{Co}\x{E0002}-\x{E001F}\x{E0080}-\x{E00FF}]"
 TURNS = """
     SELECT conv_id, turn, CASE role WHEN 'user' THEN text || translate(text, {shown}, {hidden})
         ELSE text END AS x

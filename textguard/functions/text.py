@@ -7,7 +7,7 @@ give these shorthands different meanings outside ASCII.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,6 +18,12 @@ WORD = r"[\p{L}\p{N}]+"
 LIMIT_TOKEN = r"[A-Za-z0-9_]+|[^A-Za-z0-9_ \t\n\r\f]"
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Name a value inside one expression, so that it is computed once per row
+    even where it is used several times or for each element of an array."""
+    return F.transform(F.array(value), use)[0]
+
+
 def matches(text: Column, pattern: str) -> Column:
     """Find the pattern anywhere; ``.`` stops at a line feed only."""
     return text.rlike(f"(?d){pattern}")

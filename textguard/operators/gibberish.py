@@ -128,9 +128,12 @@ def train_gibberish(corpus: DataFrame, lang: str, text: str) -> GibberishModel:
 
 def _repeats(sentence: Column) -> Column:
     """Share of words that repeat the word before them."""
-    words = tx.words(sentence)
-    same = F.filter(words, lambda word, at: (at > 0) & (word == F.get(words, at - 1)))
-    return F.coalesce(F.try_divide(F.size(same), F.size(words)), F.lit(0.0))
+
+    def share(words: Column) -> Column:
+        same = F.filter(words, lambda word, at: (at > 0) & (word == F.get(words, at - 1)))
+        return F.coalesce(F.try_divide(F.size(same), F.size(words)), F.lit(0.0))
+
+    return tx.bind(tx.words(sentence), share)
 
 
 def gibberish(

@@ -47,8 +47,7 @@ def detect_language(text: Column, function_words: FunctionWords = FUNCTION_WORDS
             total > 0, verdict(F.try_divide(best["hits"], total), best["lang"])
         ).otherwise(verdict(F.lit(0.0), F.lit(UNKNOWN)))
 
-    # A one-element transform names the counts, so they are taken once per text.
-    by_words = F.transform(F.array(ranked), chosen)[0]
+    by_words = tx.bind(ranked, chosen)
     return F.when(chinese >= HAN_SHARE, verdict(chinese, F.lit("zh"))).when(
         text.isNotNull(), by_words
     )

@@ -164,7 +164,7 @@ def anonymize(
 
 def vault_table(anonymized: DataFrame, *keys: str) -> DataFrame:
     """One row per vault entry, to be kept apart from the texts."""
-    return anonymized.select(*keys, F.inline("vault"))
+    return anonymized.select(*keys, F.inline_outer("vault")).filter(F.col("idx").isNotNull())
 
 
 def restore(text: str, vault: str = "vault") -> Column:

@@ -25,10 +25,31 @@ def _prefix(words: Column, threshold: float) -> Column:
 
 
 def _repeated(items: Column) -> Column:
-    ordered = F.array_sort(items)
-    return F.array_distinct(
-        F.filter(ordered, lambda x, at: (at > 0) & (x == F.get(ordered, at - 1)))
-    )
+    def same_as_before(ordered: Column) -> Column:
+        return F.filter(ordered, lambda x, at: (at > 0) & (x == F.get(ordered, at - 1)))
+
+    return F.array_distinct(tx.bind(F.array_sort(items), same_as_before))
+
+
+def _linked(text: Column, threshold: float) -> Column:
+    """The sentences of one text that share a prefix word with another one."""
+
+    def links(sets: Column, shared: Column) -> Column:
+        every = F.transform(
+            sets,
+            lambda words, at: F.struct(
+                at.alias("pos"),
+                words.alias("words"),
+                F.array_intersect(_prefix(words, threshold), shared).alias("links"),
+            ),
+        )
+        return F.filter(every, lambda one: F.size(one["links"]) > 0)
+
+    def linked(sets: Column) -> Column:
+        prefixes = F.transform(sets, lambda words: _prefix(words, threshold))
+        return tx.bind(_repeated(F.flatten(prefixes)), lambda shared: links(sets, shared))
+
+    return tx.bind(F.transform(tx.sentences(text), _token_set), linked)
 
 
 def redundant_positions(
@@ -41,15 +62,8 @@ def redundant_positions(
     share a prefix word with another sentence of the text are exploded. Equal
     word sets are merged before the join, so repeats make no pairs.
     """
-    sets = df.select(key, F.transform(tx.sentences(F.col(text)), _token_set).alias("sets"))
-    shared = sets.withColumn(
-        "shared",
-        _repeated(F.flatten(F.transform("sets", lambda words: _prefix(words, threshold)))),
-    ).filter(F.size("shared") > 0)
-    sentences = (
-        shared.select(key, "shared", F.posexplode("sets").alias("pos", "words"))
-        .withColumn("links", F.array_intersect(_prefix(F.col("words"), threshold), "shared"))
-        .filter(F.size("links") > 0)
+    sentences = df.select(key, F.inline_outer(_linked(F.col(text), threshold))).filter(
+        F.col("pos").isNotNull()
     )
     distinct = sentences.groupBy(key, "words").agg(
         F.first("links").alias("links"),

@@ -12,6 +12,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from textguard.session import new_path
 
 Expression = Callable[[Column], Column]
 
@@ -101,18 +104,28 @@ def compose(df: DataFrame, text: str, rules: Sequence[Rule], out: str = "scan")
     return df.withColumn(out, verdict).drop(*steps)
 
 
-def split_valid(df: DataFrame, scan_column: str) -> tuple[DataFrame, DataFrame]:
-    """Valid rows and quarantined rows; a row without a verdict is quarantined."""
-    passed = F.coalesce(F.col(f"{scan_column}.is_valid"), F.lit(False))
-    return df.filter(passed), df.filter(~passed)
-
-
 def write_split(df: DataFrame, scan_column: str, path: str) -> None:
-    """Write valid and quarantined rows in one pass, as partitions ``passed=...``."""
+    """Write valid and quarantined rows in one pass, as partitions ``passed=...``.
+
+    A row without a verdict is quarantined.
+    """
     passed = F.coalesce(F.col(f"{scan_column}.is_valid"), F.lit(False))
     df.withColumn("passed", passed).write.partitionBy("passed").parquet(path)
 
 
+def split_valid(df: DataFrame, scan_column: str) -> tuple[DataFrame, DataFrame]:
+    """Valid rows and quarantined rows, from one scan that is written in two parts.
+
+    Filtering the scanned rows directly would move the condition, and with it the
+    whole chain of rules, below the projections and run it a second time.
+    """
+    path = new_path(df.sparkSession, "split")
+    write_split(df, scan_column, path)
+    schema = T.StructType([*df.schema.fields, T.StructField("passed", T.BooleanType())])
+    both = df.sparkSession.read.schema(schema).parquet(path)
+    return both.filter("passed").drop("passed"), both.filter("NOT passed").drop("passed")
+
+
 def require_valid(df: DataFrame, scan_column: str) -> DataFrame:
     """Strict mode: the job fails at the first row that is not valid."""
     passed = F.coalesce(F.col(f"{scan_column}.is_valid"), F.lit(False))

@@ -171,21 +171,22 @@ def financial_tone(
 
 def code_scores(text: Column, patterns: Mapping[str, Sequence[str]] = wl.CODE_LINES) -> Column:
     """Per language the share of non-blank lines that look like its code."""
-    lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^ \t\n\r\f]"))
 
-    def share(name: str) -> Column:
+    def share(lines: Column, name: str) -> Column:
         anything = "|".join(f"(?:{pattern})" for pattern in patterns[name])
-        return F.try_divide(F.size(F.filter(lines, lambda line: line.rlike(anything))), F.size(lines))
-
-    return F.array(
-        *[
-            F.struct(
-                F.coalesce(F.round(share(name), 6), F.lit(0.0)).alias("score"),
-                F.lit(name).alias("language"),
-            )
-            for name in sorted(patterns, reverse=True)
-        ]
-    )
+        n_code = F.size(F.filter(lines, lambda line: line.rlike(anything)))
+        return F.coalesce(F.round(F.try_divide(n_code, F.size(lines)), 6), F.lit(0.0))
+
+    def scores(lines: Column) -> Column:
+        return F.array(
+            *[
+                F.struct(share(lines, name).alias("score"), F.lit(name).alias("language"))
+                for name in sorted(patterns)
+            ]
+        )
+
+    written = F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^ \t\n\r\f]"))
+    return tx.bind(written, scores)
 
 
 def code(

@@ -283,10 +283,13 @@ def token_limit(limit: int) -> Rule:
 
 def token_chunks(text: Column, limit: int) -> Column:
     """The whole text as pieces of at most ``limit`` tokens."""
-    tokens = tx.limit_tokens(text)
-    starts = F.sequence(F.lit(1), F.size(tokens), F.lit(limit))
-    pieces = F.transform(starts, lambda at: F.array_join(F.slice(tokens, at, limit), ""))
-    return F.when(F.size(tokens) > 0, pieces).otherwise(F.array().cast("array<string>"))
+
+    def pieces(tokens: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(tokens), F.lit(limit))
+        cut = F.transform(starts, lambda at: F.array_join(F.slice(tokens, at, limit), ""))
+        return F.when(F.size(tokens) > 0, cut).otherwise(F.array().cast("array<string>"))
+
+    return tx.bind(tx.limit_tokens(text), pieces)
 
 
 

@@ -34,15 +34,14 @@ def nearest_topic(
     whole = centroids.groupBy(label).agg(ordered.alias("centroid"))
     topics = whole.agg(F.collect_list(F.struct(F.col(label).alias("topic"), "centroid"))).scalar()
     scored = F.transform(
-        topics,
+        "__topics",
         lambda t: F.struct(
             F.round(tx.cosine(F.col(vector), t["centroid"]), 6).alias("cosine"),
             t["topic"].alias("topic"),
         ),
     )
-    return vectors.select(key, F.array_max(scored).alias("best")).select(
-        key, "best.topic", "best.cosine"
-    )
+    best = vectors.withColumn("__topics", topics).select(key, F.array_max(scored).alias("best"))
+    return best.select(key, "best.topic", "best.cosine")
 
 
 def ban_topic_vectors(

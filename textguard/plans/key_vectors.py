@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textguard.functions import text as tx
 from textguard.functions.wordlists import KEY_STOP_WORDS
 from textguard.plans.skew import hot_keys, spread_join
 
@@ -33,14 +34,16 @@ def clean_names(keys: DataFrame) -> DataFrame:
 def key_terms(clean: Column, stop_words: Sequence[str] = KEY_STOP_WORDS) -> Column:
     """Words of two letters or more that are no stop words, and their neighbour pairs."""
     stop = F.array(*[F.lit(word) for word in stop_words])
-    words = F.filter(
+
+    def with_pairs(words: Column) -> Column:
+        after = F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0)))
+        pairs = F.zip_with(words, after, lambda left, right: F.concat(left, F.lit(" "), right))
+        return F.concat(words, F.array_compact(pairs))
+
+    kept = F.filter(
         F.split(clean, " "), lambda word: (F.length(word) >= 2) & ~F.array_contains(stop, word)
     )
-    pairs = F.filter(
-        F.transform(words, lambda word, at: F.concat_ws(" ", F.get(words, at - 1), word)),
-        lambda pair: pair.contains(" "),
-    )
-    return F.concat(words, pairs)
+    return tx.bind(kept, with_pairs)
 
 
 def term_counts(names: DataFrame, stop_words: Sequence[str] = KEY_STOP_WORDS) -> DataFrame:
@@ -94,21 +97,25 @@ def similar_names(weights: DataFrame, min_cosine: float = MIN_COSINE) -> DataFra
         .filter(F.col("behind") >= enough)
         .select("term", "clean", "behind", "vector")
     )
-    a, b = postings.alias("a"), postings.alias("b")
     product = F.aggregate(
-        F.map_entries("a.vector"),
+        F.map_entries("left.vector"),
         F.lit(0.0),
         lambda total, e: total
-        + e["value"] * F.coalesce(F.try_element_at(F.col("b.vector"), e["key"]), F.lit(0.0)),
+        + e["value"] * F.coalesce(F.try_element_at(F.col("right.vector"), e["key"]), F.lit(0.0)),
     )
     meets = (
-        (F.col("a.term") == F.col("b.term"))
-        & (F.col("a.clean") < F.col("b.clean"))
-        & (F.col("a.behind") * F.col("b.behind") >= enough)
+        (F.col("left.term") == F.col("right.term"))
+        & (F.col("left.clean") < F.col("right.clean"))
+        & (F.col("left.behind") * F.col("right.behind") >= enough)
     )
     return (
-        a.join(b, meets)
-        .select(F.col("a.clean").alias("a"), F.col("b.clean").alias("b"), F.round(product, 9).alias("cosine"))
+        postings.alias("left")
+        .join(postings.alias("right"), meets)
+        .select(
+            F.col("left.clean").alias("a"),
+            F.col("right.clean").alias("b"),
+            F.round(product, 9).alias("cosine"),
+        )
         .filter(F.col("cosine") >= min_cosine)
         .distinct()
     )
