@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from registry import query, sql
-from registry.text_queries import documents, pairs
-from textguard.functions import text as tx
+from registry.text_queries import documents, pairs, verdicts
 from textguard.operators import gibberish as gib
 from textguard.operators import reachability, relevance as rel, scored, topics
 from textguard.operators.redundancy import redundant_sentences as redundant
+from textguard.operators.text_rules import valid_range_json
 from textguard.session import new_path
 from textguard.sources.tables import table, text_table
 from textguard.streaming import scan_stream
@@ -313,9 +314,7 @@ def url_reachability(spark, folder):
     """,
 )
 def guard_stream(spark, folder):
-    from textguard.operators.text_rules import valid_range_json
-
-    rule = valid_range_json(spark.createDataFrame([], "k int").schema, "k", 0, 50)
+    rule = valid_range_json(T.StructType([T.StructField("k", T.IntegerType())]), "k", 0, 50)
     schema = table(spark, folder, "events").schema
     stream = scan_stream.read_stream(spark, folder, "events.parquet", schema)
     counts = scan_stream.violation_counts(stream, "ts", "props", rule, by=["event_type"])
@@ -324,17 +323,21 @@ def guard_stream(spark, folder):
     )
 
 
-# --- models beyond word lists --------------------------------------------------------------
+# --- plug-in scorers --------------------------------------------------------------------
 
 
-@query("toxicity_model")
-def toxicity_model(spark, folder):
-    """A plug-in scorer over Arrow batches in the place of the word list."""
-    from textguard.operators.rule import scan
+def share_of_capitals(texts):
+    return texts.str.count("[A-Z]") / texts.str.len().clip(lower=1)
 
-    def shouting(texts):
-        capitals = texts.str.count("[A-Z]")
-        return capitals / texts.str.len().clip(lower=1)
 
-    done = scan(documents(spark, folder), "text", scored.scorer_rule("shouting", shouting, 0.1))
-    return done.select("doc_id", "shouting.sanitized", "shouting.is_valid", "shouting.risk_score")
+@query(
+    "scorer_plugin",
+    f"""
+    SELECT doc_id, CASE WHEN risk < 0.03 THEN text END AS sanitized, {sql.scored('risk', 0.03)}
+    FROM (SELECT doc_id, text, round({sql.hits('text', '[A-Z]')} / greatest(length(text), 1), 6) AS risk FROM documents)
+    """,
+)
+def scorer_plugin(spark, folder):
+    """A scorer over Arrow batches in the place of a word list."""
+    rule = scored.scorer_rule("capitals", share_of_capitals, 0.03)
+    return verdicts(documents(spark, folder), ["doc_id"], "text", rule)

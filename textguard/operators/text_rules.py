@@ -237,7 +237,7 @@ def reading_grade(text: Column) -> Column:
     spelled = F.lower(F.array_join(tx.extract(text, "[A-Za-z]+(?:'[A-Za-z]+)?"), " "))
     stems = F.regexp_replace(spelled, "e(?= |$)", "")
     n_words = tx.count(spelled, "[^ ]+")
-    n_sentences = F.greatest(F.lit(1), tx.count(text, "[^.!?]+[.!?]+"))
+    n_sentences = F.greatest(F.lit(1), tx.count(text, "[^.!?][.!?]"))
     silent = n_words - tx.count(stems, "[^ ]*[aeiouy][^ ]*")
     n_syllables = tx.count(stems, "[aeiouy]+") + silent
     grade = 0.39 * n_words / n_sentences + 11.8 * F.try_divide(n_syllables, n_words) - 15.59

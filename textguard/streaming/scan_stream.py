@@ -38,7 +38,12 @@ def violation_counts(
             F.count(F.lit(1)).alias("n_rows"),
             F.count_if(~F.col("scan.is_valid")).alias("n_violations"),
         )
-        .select(F.col("window.start").alias("window_start"), *by, "n_rows", "n_violations")
+        .select(
+            F.col("window.start").cast("timestamp_ntz").alias("window_start"),
+            *by,
+            "n_rows",
+            "n_violations",
+        )
     )
 
 
