@@ -41,12 +41,11 @@ def json_rows(spark, folder):
 
 
 def json_documents(spark, folder):
-    parsed = parse_documents(json_rows(spark, folder), F.col("path"), F.col("j"))
-    return parsed.filter(F.col("data").isNotNull())
+    return parse_documents(json_rows(spark, folder), F.col("path"), F.col("j"))
 
 
-def all_keys(spark, folder):
-    return stage(kp.distinct_keys(json_documents(spark, folder)), "keys")
+def some_keys(spark, folder):
+    return kp.distinct_keys(kp.document_samples(json_documents(spark, folder)))
 
 
 RAW = " UNION ALL ".join(
@@ -205,17 +204,17 @@ def json_key_paths(spark, folder):
 
 @query("distinct_keys", f"{WITH_KEYS} SELECT key FROM keys")
 def distinct_keys(spark, folder):
-    return kp.distinct_keys(json_documents(spark, folder))
+    return some_keys(spark, folder)
 
 
 @query("key_normalize", f"{WITH_KEYS} SELECT key, {clean_sql('key')} AS clean FROM keys")
 def key_normalize(spark, folder):
-    return all_keys(spark, folder).select("key", kv.clean_key(F.col("key")).alias("clean"))
+    return some_keys(spark, folder).select("key", kv.clean_key(F.col("key")).alias("clean"))
 
 
 @query("key_heuristic_name", f"{WITH_KEYS} SELECT key, {name_sql('key')} AS standard_key FROM keys")
 def key_heuristic_name(spark, folder):
-    keys = all_keys(spark, folder)
+    keys = some_keys(spark, folder)
     return keys.select("key", kn.standard_name(F.col("key")).alias("standard_key"))
 
 
@@ -223,7 +222,7 @@ def key_heuristic_name(spark, folder):
 
 
 def names_and_counts(spark, folder):
-    names = stage(kv.clean_names(all_keys(spark, folder)), "names")
+    names = stage(kv.clean_names(some_keys(spark, folder)), "names")
     return names, stage(kv.term_counts(names), "terms")
 
 
@@ -258,7 +257,7 @@ def key_similarity(spark, folder):
 
 
 def key_clusters_of(spark, folder):
-    return stage(kc.cluster_keys(all_keys(spark, folder)), "clusters")
+    return stage(kc.cluster_keys(some_keys(spark, folder)), "clusters")
 
 
 @query("key_clusters", f"{WITH_CLUSTERS} SELECT key, cluster_id FROM clusters")
@@ -363,4 +362,4 @@ def key_standardize_empty(spark, folder):
     """Orders by themselves are no JSON, so every document is left out."""
     orders = spread(table(spark, folder, "orders").select("o_orderstatus"))
     parsed = parse_documents(orders, F.lit("orders"), F.col("o_orderstatus"))
-    return st.standardize_documents(parsed.filter(F.col("data").isNotNull())).report
+    return st.standardize_documents(parsed).report

@@ -56,6 +56,11 @@ def limit_tokens(text: Column) -> Column:
     return extract(text, rf"[ \t\n\r\f]*(?:{LIMIT_TOKEN})")
 
 
+def count_limit_tokens(text: Column) -> Column:
+    """Words shortened to one letter and blanks removed leave one letter per token."""
+    return F.length(F.translate(F.regexp_replace(text, "[A-Za-z0-9_]+", "x"), BLANKS, ""))
+
+
 def any_of(terms: Iterable[str]) -> str:
     """One alternation of literal terms, longest first so the longest term wins."""
     ordered = sorted(set(terms), key=lambda term: (-len(term), term))

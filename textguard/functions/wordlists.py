@@ -108,20 +108,27 @@ NAME_STOP_WORDS = [
 class PiiRule(NamedTuple):
     """One kind of personal data. ``edges`` asks for ASCII word edges around the
     pattern, ``{edge}`` for one such edge inside it; ``lead`` is a cue before the
-    value that must stay in the text."""
+    value that must stay in the text. ``needs`` is a cheap pattern without which
+    there is no hit."""
 
     entity: str
     pattern: str
     edges: bool = True
     lead: str = ""
+    needs: str = "[0-9]"
 
 
 # Personal data, in the order in which the rules apply.
 PII_RULES = [
-    PiiRule("EMAIL", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"),
-    PiiRule("SECRET", r'(?i:bearer [A-Za-z0-9._~+/-]+|token = "[0-9a-f]{40}")', edges=False),
-    PiiRule("URL", r'https?://[^ \t\n\r\f<>"]+'),
-    PiiRule("DOMAIN", r"(?:[a-z0-9-]+\.)+(?:com|org|net|site|io)"),
+    PiiRule("EMAIL", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", needs="@"),
+    PiiRule(
+        "SECRET",
+        r'(?i:bearer [A-Za-z0-9._~+/-]+|token = "[0-9a-f]{40}")',
+        edges=False,
+        needs="(?i)bearer |token = ",
+    ),
+    PiiRule("URL", r'https?://[^ \t\n\r\f<>"]+', needs="https?://"),
+    PiiRule("DOMAIN", r"(?:[a-z0-9-]+\.)+(?:com|org|net|site|io)", needs=r"\.(?:com|org|net|site|io)"),
     PiiRule("IP", r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}"),
     PiiRule("IBAN", r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}"),
     PiiRule("CRYPTO", r"[13][A-HJ-NP-Za-km-z1-9]{25,34}"),
@@ -139,7 +146,13 @@ PII_RULES = [
         "DATE",
         r"(?:January|February|March|April|May|June|July|August|September|October|November|December) [0-9]{1,2}",
     ),
-    PiiRule("PERSON", r"[A-Z][a-z]+(?: [A-Z][a-z]+)*", edges=False, lead="(?i:my name is )"),
+    PiiRule(
+        "PERSON",
+        r"[A-Z][a-z]+(?: [A-Z][a-z]+)*",
+        edges=False,
+        lead="(?i:my name is )",
+        needs="(?i)name is ",
+    ),
 ]
 
 # Named groups of personal data.

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from textguard.functions import text as tx
 from textguard.functions.wordlists import FUNCTION_WORDS
-from textguard.operators.rule import Rule, flag
+from textguard.operators.rule import Rule, flag, itself
 
 UNKNOWN = "und"
 HAN = r"[\x{4E00}-\x{9FFF}]"
@@ -24,8 +24,10 @@ def detect_language(text: Column, function_words: FunctionWords = FUNCTION_WORDS
     comes first in the alphabet; a text without hits is of unknown language.
     """
     lowered = F.lower(text)
-    letters = tx.count(lowered, r"\p{L}")
-    chinese = F.try_divide(tx.count(lowered, HAN), letters)
+    # Letters are counted only where there are Chinese ones at all.
+    chinese = F.when(
+        text.rlike(HAN), F.try_divide(tx.count(lowered, HAN), tx.count(lowered, r"\p{L}"))
+    )
     ranked = F.array(
         *[
             F.struct(
@@ -58,12 +60,11 @@ def correct_language(
 ) -> Rule:
     """The expected language, with at least the given confidence."""
 
-    def risk(text: Column) -> Column:
-        found = detect_language(text, function_words)
-        return flag((found["lang"] != expected) | (found["confidence"] < threshold))
-
     return Rule(
-        "correct_language", risk, details={"found": lambda text: detect_language(text, function_words)}
+        "correct_language",
+        lambda found: flag((found["lang"] != expected) | (found["confidence"] < threshold)),
+        measure=lambda text: detect_language(text, function_words),
+        details={"found": itself},
     )
 
 
@@ -89,14 +90,20 @@ def language(
 def language_same(prompt: Column, function_words: FunctionWords = FUNCTION_WORDS) -> Rule:
     """Prompt and output in the same, known language."""
 
-    def lang(text: Column) -> Column:
-        return detect_language(text, function_words)["lang"]
-
-    def risk(text: Column) -> Column:
-        return flag((lang(prompt) != lang(text)) | lang(prompt).eqNullSafe(UNKNOWN))
+    def both(text: Column) -> Column:
+        return F.struct(
+            detect_language(prompt, function_words)["lang"].alias("prompt"),
+            detect_language(text, function_words)["lang"].alias("output"),
+        )
 
     return Rule(
         "language_same",
-        risk,
-        details={"prompt_lang": lambda _: lang(prompt), "output_lang": lang},
+        lambda langs: flag(
+            (langs["prompt"] != langs["output"]) | langs["prompt"].eqNullSafe(UNKNOWN)
+        ),
+        measure=both,
+        details={
+            "prompt_lang": lambda langs: langs["prompt"],
+            "output_lang": lambda langs: langs["output"],
+        },
     )

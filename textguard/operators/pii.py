@@ -7,13 +7,14 @@ left, so a number inside an e-mail address is never found a second time.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textguard.functions import text as tx
 from textguard.functions.wordlists import PII_GROUPS, PII_RULES, PiiRule
-from textguard.operators.rule import Rule, flag
+from textguard.operators.rule import Expression, Rule, flag
 
 CUSTOM = "CUSTOM"
 NUMBER_EDGE = "(?:(?<![A-Za-z0-9_])(?=[0-9])|(?<=[0-9])(?![A-Za-z0-9_]))"
@@ -26,7 +27,10 @@ def rules_for(entities: str | Sequence[str], gazetteer: Gazetteer | None = None)
     A gazetteer adds known values (places, names) of an entity as further rules.
     """
     wanted = PII_GROUPS[entities] if isinstance(entities, str) else list(entities)
-    known = [PiiRule(name, tx.any_of(values)) for name, values in (gazetteer or {}).items()]
+    known = [
+        PiiRule(name, tx.any_of(values), needs=tx.any_of(values))
+        for name, values in (gazetteer or {}).items()
+    ]
     return [rule for rule in [*PII_RULES, *known] if rule.entity in wanted]
 
 
@@ -46,9 +50,23 @@ def _values(text: Column, rule: PiiRule) -> Column:
     return tx.extract(text, _pattern(rule), 2 if rule.lead else 0)
 
 
+def _by_need(rules: Sequence[PiiRule]) -> list[tuple[str, list[PiiRule]]]:
+    """Neighbouring rules with the same need, which is checked once for all of them."""
+    return [(needs, list(some)) for needs, some in groupby(rules, key=lambda rule: rule.needs)]
+
+
 def redact_pii(text: Column, rules: Sequence[PiiRule]) -> Column:
-    for rule in rules:
-        text = _masked(text, rule)
+    def step(needs: str, some: list[PiiRule]) -> Expression:
+        def masked(before: Column) -> Column:
+            after = before
+            for rule in some:
+                after = _masked(after, rule)
+            return F.when(before.rlike(needs), after).otherwise(before)
+
+        return masked
+
+    for needs, some in _by_need(rules):
+        text = tx.bind(text, step(needs, some))
     return text
 
 
@@ -60,8 +78,9 @@ def pii_filter(
 
     def risk(text: Column) -> Column:
         found = F.lit(False)
-        for rule in rules:
-            found = found | text.rlike(_pattern(rule))
+        for needs, some in _by_need(rules):
+            patterns = "|".join(f"(?:{_pattern(rule)})" for rule in some)
+            found = found | (text.rlike(needs) & text.rlike(patterns))
         return flag(found)
 
     fix = (lambda text: redact_pii(text, rules)) if redact else (lambda text: text)
@@ -90,13 +109,19 @@ def _hits(
     Each masking step is a projection of its own, so it runs once although both
     the values of its rule and the next step read it.
     """
-    hidden = [PiiRule(CUSTOM, tx.any_of(hidden_names))] if hidden_names else []
+    custom = tx.any_of(hidden_names)
+    hidden = [PiiRule(CUSTOM, custom, needs=custom)] if hidden_names else []
     found = []
     df = df.withColumn("__text_0", F.col(text))
     for step, rule in enumerate([*hidden, *rules]):
         before = F.col(f"__text_{step}")
-        df = df.withColumn(f"__values_{step}", F.array_distinct(_values(before, rule))).withColumn(
-            f"__text_{step + 1}", _masked(before, rule)
+        values = F.array_distinct(_values(before, rule))
+        none = F.array().cast("array<string>")
+        df = df.withColumn(
+            f"__values_{step}", F.when(before.rlike(rule.needs), values).otherwise(none)
+        ).withColumn(
+            f"__text_{step + 1}",
+            F.when(F.size(f"__values_{step}") > 0, _masked(before, rule)).otherwise(before),
         )
         found.append(
             F.struct(
@@ -144,7 +169,7 @@ def anonymize(
     """
     found = _hits(df, text, rules_for(entities, gazetteer), hidden_names)
     vaulted = found.withColumn("vault", _numbered(F.col("__hits"), allowed_names)).drop("__hits")
-    longest_first = F.array_sort(
+    longest_first = F.sort_array(
         F.transform(
             "vault",
             lambda e: F.struct(

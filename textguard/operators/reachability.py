@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textguard.functions import text as tx
-from textguard.plans.skew import hot_keys, spread_join
+from textguard.plans.skew import spread_join
+from textguard.session import stage
 
 URL = r'https?://[^ \t\n\r\f<>"]+'
 
@@ -50,9 +51,15 @@ def url_reachability(
     several tasks for the join with its status.
     """
     uses = extract_urls(df, key, text)
-    status = url_status(probes, success_status_codes, timeout)
-    hot = hot_keys(uses.groupBy("url").agg(F.count(F.lit(1)).alias("n")), "url", "n")
-    judged = spread_join(uses, status, "url", hot, [key], "left")
+    status = stage(url_status(probes, success_status_codes, timeout), "status")
+    judged = spread_join(
+        uses,
+        status,
+        "url",
+        lambda: (uses.groupBy("url").agg(F.count(F.lit(1)).alias("n")), "n"),
+        [key],
+        "left",
+    )
     broken = judged.groupBy(key).agg(
         F.count(F.lit(1)).alias("n_urls"),
         F.count_if(~F.coalesce(F.col("reachable"), F.lit(False))).alias("n_unreachable"),

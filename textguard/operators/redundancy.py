@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textguard.functions import text as tx
+from textguard.session import stage
 
 
 def _token_set(sentence: Column) -> Column:
@@ -15,7 +16,7 @@ def _token_set(sentence: Column) -> Column:
         F.array_distinct(tx.words(sentence)),
         lambda w: F.struct((-F.length(w)).alias("shortness"), w.alias("word")),
     )
-    return F.transform(F.array_sort(ranked), lambda r: r["word"])
+    return F.transform(F.sort_array(ranked), lambda r: r["word"])
 
 
 def _prefix(words: Column, threshold: float) -> Column:
@@ -28,7 +29,7 @@ def _repeated(items: Column) -> Column:
     def same_as_before(ordered: Column) -> Column:
         return F.filter(ordered, lambda x, at: (at > 0) & (x == F.get(ordered, at - 1)))
 
-    return F.array_distinct(tx.bind(F.array_sort(items), same_as_before))
+    return F.array_distinct(tx.bind(F.sort_array(items), same_as_before))
 
 
 def _linked(text: Column, threshold: float) -> Column:
@@ -70,6 +71,7 @@ def redundant_positions(
         F.min("pos").alias("first_pos"),
         F.collect_list("pos").alias("positions"),
     )
+    distinct = stage(distinct, "repeats")
     links = distinct.select(
         key, "words", "first_pos", F.size("words").alias("n"), F.explode("links").alias("link")
     )

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textguard.functions import text as tx
-from textguard.plans.skew import hot_keys, spread_join
+from textguard.plans.skew import spread_join
+from textguard.session import stage
 
 
 def relevance(
@@ -35,8 +36,9 @@ def relevance(
         .agg(F.sum("p").alias("tf_p"), F.sum("o").alias("tf_o"))
     )
     texts_with = F.count_if(F.col("tf_p") > 0) + F.count_if(F.col("tf_o") > 0)
-    vocabulary = terms.groupBy("term").agg(texts_with.alias("df"))
-    weighed = spread_join(terms, vocabulary, "term", hot_keys(vocabulary, "term", "df"), keys)
+    terms = stage(terms, "terms")
+    vocabulary = stage(terms.groupBy("term").agg(texts_with.alias("df")), "vocabulary")
+    weighed = spread_join(terms, vocabulary, "term", lambda: (vocabulary, "df"), keys)
     idf = F.log((1 + n_texts) / (1 + F.col("df"))) + 1
     cosines = (
         weighed.withColumns({"wp": F.col("tf_p") * idf, "wo": F.col("tf_o") * idf})

@@ -24,7 +24,8 @@ class Rule:
     """``risk`` scores a text, ``fix`` repairs it (None: there is no repair).
 
     A text is valid while its risk stays below ``limit``; at limit 0 only a risk
-    of 0 is valid. ``details`` are further columns to keep, such as found terms.
+    of 0 is valid. With ``measure`` the text is measured once, and the risk and
+    the ``details`` to keep, such as found terms, are taken from the measure.
     """
 
     name: str
@@ -32,6 +33,7 @@ class Rule:
     fix: Expression | None = None
     limit: float = 1.0
     on_fail: str = "fix"
+    measure: Expression | None = None
     details: Mapping[str, Expression] = field(default_factory=dict)
 
 
@@ -40,11 +42,15 @@ def flag(violated: Column) -> Column:
     return F.when(violated, 1.0).otherwise(0.0)
 
 
-def _risk(rule: Rule, text: Column) -> Column:
-    return F.when(text.isNotNull(), F.round(rule.risk(text).cast("double"), 6))
+def itself(measure: Column) -> Column:
+    return measure
 
 
-def _verdict(rule: Rule, text: Column, risk: Column) -> Column:
+def _risk(rule: Rule, text: Column, measure: Column) -> Column:
+    return F.when(text.isNotNull(), F.round(rule.risk(measure).cast("double"), 6))
+
+
+def _verdict(rule: Rule, text: Column, measure: Column, risk: Column) -> Column:
     is_valid = risk < rule.limit if rule.limit > 0 else risk <= 0
     sanitized = text
     if rule.on_fail == "fix":
@@ -54,26 +60,28 @@ def _verdict(rule: Rule, text: Column, risk: Column) -> Column:
         sanitized.alias("sanitized"),
         is_valid.alias("is_valid"),
         risk.alias("risk_score"),
-        *[make(text).alias(name) for name, make in rule.details.items()],
+        *[make(measure).alias(name) for name, make in rule.details.items()],
     )
 
 
 def scan(df: DataFrame, text: str, *rules: Rule, out: Sequence[str] | None = None) -> DataFrame:
     """Add one verdict struct per rule, each seeing the text as it is.
 
-    The risks are computed first, in a projection of their own, because each is
-    used for the verdict, the repair and the report.
+    Measures, risks and verdicts are three projections, because each of them is
+    used more than once by the next.
     """
-    names = list(out or [rule.name for rule in rules])
-    scored = df.withColumns(
-        {f"__risk_{name}": _risk(rule, F.col(text)) for name, rule in zip(names, rules)}
-    )
-    return scored.withColumns(
-        {
-            name: _verdict(rule, F.col(text), F.col(f"__risk_{name}"))
-            for name, rule in zip(names, rules)
-        }
-    ).drop(*[f"__risk_{name}" for name in names])
+    named = dict(zip(out or [rule.name for rule in rules], rules))
+    measures = {f"__measure_{n}": r.measure(F.col(text)) for n, r in named.items() if r.measure}
+
+    def measured(name: str) -> Column:
+        return F.col(f"__measure_{name}" if named[name].measure else text)
+
+    risks = {f"__risk_{n}": _risk(r, F.col(text), measured(n)) for n, r in named.items()}
+    verdicts = {
+        n: _verdict(r, F.col(text), measured(n), F.col(f"__risk_{n}")) for n, r in named.items()
+    }
+    scanned = df.withColumns(measures) if measures else df
+    return scanned.withColumns(risks).withColumns(verdicts).drop(*measures, *risks)
 
 
 def compose(df: DataFrame, text: str, rules: Sequence[Rule], out: str = "scan") -> DataFrame:

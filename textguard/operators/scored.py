@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from textguard.functions import text as tx
 from textguard.functions import wordlists as wl
 from textguard.functions.wordlists import Entry
-from textguard.operators.rule import Rule, flag
+from textguard.operators.rule import Rule, flag, itself
 from textguard.session import broadcast_if_small
 
 INLINE_ENTRIES = 500
@@ -138,7 +138,12 @@ def compound(
     lowered = F.lower(text)
     plus = tx.count(lowered, tx.whole_word(tx.any_of(positive)))
     minus = tx.count(lowered, tx.whole_word(tx.any_of(negative)))
-    return F.coalesce(F.try_divide(plus - minus, plus + minus), F.lit(0.0))
+
+    def balance(counts: Column) -> Column:
+        return F.try_divide(counts["plus"] - counts["minus"], counts["plus"] + counts["minus"])
+
+    both = F.struct(plus.alias("plus"), minus.alias("minus"))
+    return F.coalesce(tx.bind(both, balance), F.lit(0.0))
 
 
 def sentiment(
@@ -163,10 +168,13 @@ def financial_tone(
     wanted = F.lit(expected) if isinstance(expected, str) else expected
 
     def tone(text: Column) -> Column:
-        balance = compound(text, positive, negative)
-        return F.when(balance > 0, "positive").when(balance < 0, "negative").otherwise("neutral")
+        sign = F.signum(compound(text, positive, negative))
+        names = F.array(F.lit("negative"), F.lit("neutral"), F.lit("positive"))
+        return F.get(names, sign.cast("int") + 1)
 
-    return Rule("financial_tone", lambda text: flag(tone(text) != wanted), details={"tone": tone})
+    return Rule(
+        "financial_tone", lambda tone: flag(tone != wanted), measure=tone, details={"tone": itself}
+    )
 
 
 def code_scores(text: Column, patterns: Mapping[str, Sequence[str]] = wl.CODE_LINES) -> Column:
@@ -200,16 +208,17 @@ def code(
     On equal scores the language that comes last in the alphabet counts.
     """
 
-    def risk(text: Column) -> Column:
-        best = F.array_max(code_scores(text, patterns))
+    def risk(best: Column) -> Column:
         listed = best["language"].isin(list(languages))
         return F.when(listed if is_blocked else ~listed, best["score"]).otherwise(0.0)
 
-    def language(text: Column) -> Column:
-        best = F.array_max(code_scores(text, patterns))
-        return F.when(best["score"] >= threshold, best["language"])
-
-    return Rule("code", risk, limit=threshold, details={"language": language})
+    return Rule(
+        "code",
+        risk,
+        limit=threshold,
+        measure=lambda text: F.array_max(code_scores(text, patterns)),
+        details={"language": lambda best: F.when(best["score"] >= threshold, best["language"])},
+    )
 
 
 def lexicon_scores(
@@ -233,7 +242,7 @@ def lexicon_scores(
         .agg(F.sum(F.col("weight") * F.col("uses")).alias("total"))
     )
     categories = lexicon.select("category").distinct()
-    names = F.array_sort(F.collect_set("category"))
+    names = F.sort_array(F.collect_set("category"))
     listed = df.select(key, F.col(text).isNotNull().alias("known")).withColumn(
         "category", F.explode(categories.agg(names).scalar())
     )

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from textguard.functions import text as tx
 from textguard.functions.wordlists import CURRENCIES
-from textguard.operators.rule import Rule, flag
+from textguard.operators.rule import Rule, flag, itself
 from textguard.session import broadcast_if_small
 
 REDACTED = "[REDACTED]"
@@ -93,7 +93,11 @@ def competitor_check(competitors: Sequence[str], case_sensitive: bool = True) ->
         return tx.join_sentences(F.filter(tx.sentences(text), lambda s: ~s.rlike(anyone)))
 
     return Rule(
-        "competitor_check", lambda text: flag(text.rlike(anyone)), fix, details={"found": found}
+        "competitor_check",
+        lambda names: flag(F.size(names) > 0),
+        fix,
+        measure=found,
+        details={"found": itself},
     )
 
 
@@ -148,15 +152,16 @@ def valid_range_json(
     full = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
 
-    def record(text: Column) -> Column:
-        return F.from_json(text, full, options)
-
-    def risk(text: Column) -> Column:
-        parsed = record(text)
-        passed = parsed[corrupt].isNull() & _within(parsed[name], low, high)
+    def risk(record: Column) -> Column:
+        passed = record[corrupt].isNull() & _within(record[name], low, high)
         return flag(~F.coalesce(passed, F.lit(False)))
 
-    return Rule("valid_range_json", risk, details={name: lambda text: record(text)[name]})
+    return Rule(
+        "valid_range_json",
+        risk,
+        measure=lambda text: F.from_json(text, full, options),
+        details={name: lambda record: record[name]},
+    )
 
 
 def _within(value: Column, low: float | None, high: float | None) -> Column:
@@ -222,33 +227,33 @@ def quotes_price(expected: Column | str | None = None) -> Rule:
             F.array(*[F.when(text.rlike(price_pattern(code)), code) for code in CURRENCIES])
         )
 
-    def risk(text: Column) -> Column:
-        anything = text.rlike("|".join(price_pattern(code) for code in CURRENCIES))
-        same = F.lit(False)
-        for code in CURRENCIES:
-            same = same | ((wanted == code) & text.rlike(price_pattern(code)))
-        return flag(F.when(wanted.isNull(), anything).otherwise(same))
+    def risk(codes: Column) -> Column:
+        return flag(F.when(wanted.isNull(), F.size(codes) > 0).otherwise(F.array_contains(codes, wanted)))
 
-    return Rule("quotes_price", risk, details={"quoted": quoted})
+    return Rule("quotes_price", risk, measure=quoted, details={"quoted": itself})
 
 
 def reading_grade(text: Column) -> Column:
     """Grade level of Kincaid et al. (1975); NULL without words."""
-    spelled = F.lower(F.array_join(tx.extract(text, "[A-Za-z]+(?:'[A-Za-z]+)?"), " "))
-    stems = F.regexp_replace(spelled, "e(?= |$)", "")
-    n_words = tx.count(spelled, "[^ ]+")
     n_sentences = F.greatest(F.lit(1), tx.count(text, "[^.!?][.!?]"))
-    silent = n_words - tx.count(stems, "[^ ]*[aeiouy][^ ]*")
-    n_syllables = tx.count(stems, "[aeiouy]+") + silent
-    grade = 0.39 * n_words / n_sentences + 11.8 * F.try_divide(n_syllables, n_words) - 15.59
-    return F.round(grade, 6)
+
+    def grade(words: Column) -> Column:
+        # Words without a vowel, apart from a final e, count as one syllable.
+        stems = F.regexp_replace(F.lower(F.array_join(words, " ")), "e(?= |$)", "")
+        n_words = F.size(words)
+        n_syllables = tx.bind(
+            stems, lambda s: tx.count(s, "[aeiouy]+") + n_words - tx.count(s, "[aeiouy][^ ]*")
+        )
+        return 0.39 * n_words / n_sentences + 11.8 * F.try_divide(n_syllables, n_words) - 15.59
+
+    return F.round(tx.bind(tx.extract(text, "[A-Za-z]+(?:'[A-Za-z]+)?"), grade), 6)
 
 
 def reading_level(low: float, high: float) -> Rule:
-    def risk(text: Column) -> Column:
-        return flag(~F.coalesce(reading_grade(text).between(low, high), F.lit(False)))
+    def risk(grade: Column) -> Column:
+        return flag(~F.coalesce(grade.between(low, high), F.lit(False)))
 
-    return Rule("reading_level", risk, details={"grade": reading_grade})
+    return Rule("reading_level", risk, measure=reading_grade, details={"grade": itself})
 
 
 def invisible_text(hidden: str = HIDDEN) -> Rule:
@@ -275,9 +280,10 @@ def token_limit(limit: int) -> Rule:
     """At most ``limit`` tokens; the repair keeps the first ones."""
     return Rule(
         "token_limit",
-        lambda text: flag(tx.count(text, tx.LIMIT_TOKEN) > limit),
+        lambda n_tokens: flag(n_tokens > limit),
         lambda text: F.array_join(F.slice(tx.limit_tokens(text), 1, limit), ""),
-        details={"n_tokens": lambda text: tx.count(text, tx.LIMIT_TOKEN)},
+        measure=tx.count_limit_tokens,
+        details={"n_tokens": itself},
     )
 
 

@@ -29,7 +29,7 @@ def nearest_topic(
     if centroids.select(label).distinct().limit(MAX_TOPICS + 1).count() > MAX_TOPICS:
         raise ValueError(f"over {MAX_TOPICS} topics")
     ordered = F.transform(
-        F.array_sort(F.collect_list(F.struct("dim", "mean"))), lambda part: part["mean"]
+        F.sort_array(F.collect_list(F.struct("dim", "mean"))), lambda part: part["mean"]
     )
     whole = centroids.groupBy(label).agg(ordered.alias("centroid"))
     topics = whole.agg(F.collect_list(F.struct(F.col(label).alias("topic"), "centroid"))).scalar()

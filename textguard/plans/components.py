@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textguard.plans.skew import hot_keys, spread_join
+from textguard.plans.skew import spread_join
 from textguard.session import stage
 
 
+def _sizes(rows: DataFrame, key: str) -> DataFrame:
+    return rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, label): the smallest node of each component, for nodes with an edge.
 
@@ -22,27 +26,31 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         ),
         "links",
     )
-    hubs = hot_keys(links.groupBy("dst").agg(F.count(F.lit(1)).alias("n")), "dst", "n")
     labels = links.groupBy(F.col("src").alias("node")).agg(
         F.least("node", F.min("dst")).alias("label")
     )
     labels = stage(labels, "labels")
     while True:
-        offers = (
-            spread_join(links, labels.withColumnRenamed("node", "dst"), "dst", hubs, ["src"])
-            .groupBy(F.col("src").alias("node"))
-            .agg(F.min("label").alias("offer"))
+        offered = spread_join(
+            links,
+            labels.withColumnRenamed("node", "dst"),
+            "dst",
+            lambda: (_sizes(links, "dst"), "n"),
+            ["src"],
         )
+        offers = offered.groupBy(F.col("src").alias("node")).agg(F.min("label").alias("offer"))
         lowered = labels.join(offers, "node").select(
             "node", F.least("label", "offer").alias("via"), F.col("label").alias("before")
         )
-        popular = hot_keys(lowered.groupBy("via").agg(F.count(F.lit(1)).alias("n")), "via", "n")
-        jump = labels.select(F.col("node").alias("via"), F.col("label").alias("far"))
+        jumped = spread_join(
+            lowered,
+            labels.select(F.col("node").alias("via"), F.col("label").alias("far")),
+            "via",
+            lambda: (_sizes(lowered, "via"), "n"),
+            ["node"],
+        )
         moved = stage(
-            spread_join(lowered, jump, "via", popular, ["node"]).select(
-                "node", F.least("via", "far").alias("label"), "before"
-            ),
-            "labels",
+            jumped.select("node", F.least("via", "far").alias("label"), "before"), "labels"
         )
         if moved.filter(F.col("label") != F.col("before")).isEmpty():
             return moved.select("node", "label")

@@ -32,9 +32,15 @@ def name_clusters(
 
     A name is a core if it and its neighbours stand for ``min_samples`` keys. Cores
     that are neighbours belong together; another name joins the smallest cluster
-    among its neighbours.
+    among its neighbours. With two samples, whoever has a neighbour is a core.
     """
     with_vector = names.join(weights.select("clean").distinct(), "clean")
+    if min_samples <= 2:
+        components = connected_components(edges).withColumnRenamed("node", "clean")
+        alone = F.when(F.col("n_keys") >= min_samples, F.col("clean"))
+        return with_vector.join(components, "clean", "left").select(
+            "clean", F.coalesce("label", alone).alias("label")
+        )
     both = edges.select(F.col("a").alias("clean"), F.col("b").alias("other")).union(
         edges.select(F.col("b").alias("clean"), F.col("a").alias("other"))
     )
@@ -55,8 +61,6 @@ def name_clusters(
     labelled = cores.join(components, "clean", "left").select(
         "clean", F.coalesce("label", "clean").alias("label")
     )
-    if min_samples <= 2:
-        return labelled
     border = (
         both.join(judged.filter(~F.col("core")).select("clean"), "clean", "left_semi")
         .join(labelled.withColumnRenamed("clean", "other"), "other")

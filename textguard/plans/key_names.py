@@ -71,7 +71,7 @@ def grouped_map(mapping: DataFrame, size: int = GROUP_SIZE) -> DataFrame:
     return (
         mapping.join(sizes, "standard_key")
         .groupBy("standard_key", part.alias("part"))
-        .agg(F.array_sort(F.collect_list("key")).alias("keys"))
+        .agg(F.sort_array(F.collect_list("key")).alias("keys"))
     )
 
 

@@ -9,14 +9,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textguard.functions import text as tx
 from textguard.session import stage
 
 
+def _skeleton(json: Column) -> Column:
+    """The JSON text without its scalars. Escapes become control characters, which
+    JSON text cannot hold, so that a quote always ends a string."""
+    plain = F.replace(F.replace(json, F.lit("\\\\"), F.lit("\x02")), F.lit('\\"'), F.lit("\x01"))
+    scalar = '"[^"]*"|-?[0-9][0-9.eE+-]*|true|false|null'
+    return F.regexp_replace(plain, f'("[^"]*":)|{scalar}', "$1")
+
+
 def _shape(value: Column) -> Column:
-    """Equal shapes imply equal paths. Mixed arrays hide the paths below them from
-    the schema, so such a value stands for itself."""
-    schema = F.schema_of_variant(value)
-    return F.when(schema.contains("VARIANT"), F.to_json(value)).otherwise(schema)
+    """Equal shapes imply equal paths. The schema is the shape, unless it merges
+    values of different kinds and so hides the paths below them; then the value
+    without its scalars is."""
+
+    def shape(schema: Column) -> Column:
+        return F.when(schema.contains("VARIANT"), _skeleton(F.to_json(value))).otherwise(schema)
+
+    return tx.bind(F.schema_of_variant(value), shape)
 
 
 def _is_object(value: Column) -> Column:
@@ -35,8 +48,12 @@ def listed_keys(data: Column) -> Column:
 
 
 def document_samples(documents: DataFrame) -> DataFrame:
-    """One pass over all documents: the distinct listed keys (``kind`` = key) and a
-    sample per distinct shape (``kind`` = shape), staged."""
+    """One pass over all documents: the distinct listed keys (``kind`` = key), and
+    a sample and the number of documents per shape (``kind`` = shape), staged.
+
+    A document without data is left out here, after the pass: a filter before it
+    would parse every document twice.
+    """
     data = F.col("data")
     nothing = F.lit(None).cast("variant")
     rows = F.concat(
@@ -47,9 +64,11 @@ def document_samples(documents: DataFrame) -> DataFrame:
         F.array(F.struct(F.lit("shape").alias("kind"), _shape(data).alias("name"), data.alias("sample"))),
     )
     samples = (
-        documents.select(F.inline(rows)).groupBy("kind", "name").agg(F.first("sample").alias("sample"))
+        documents.select(F.inline_outer(rows))
+        .groupBy("kind", "name")
+        .agg(F.first("sample").alias("sample"), F.count(F.lit(1)).alias("n"))
     )
-    return stage(samples, "samples")
+    return stage(samples.filter(F.col("name").isNotNull()), "samples")
 
 
 def _children(parents: DataFrame) -> DataFrame:
@@ -94,8 +113,12 @@ def nested_paths(samples: DataFrame) -> DataFrame:
     return paths.select(F.col("path").alias("key")).distinct()
 
 
-def distinct_keys(documents: DataFrame) -> DataFrame:
+def count_documents(samples: DataFrame) -> Column:
+    shapes = samples.filter(F.col("kind") == "shape")
+    return shapes.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
+
+
+def distinct_keys(samples: DataFrame) -> DataFrame:
     """(key): all listed keys and nested paths, each once."""
-    samples = document_samples(documents)
     listed = samples.filter(F.col("kind") == "key").select(F.col("name").alias("key"))
     return listed.union(nested_paths(samples)).distinct()

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from textguard.functions import text as tx
 from textguard.functions.wordlists import KEY_STOP_WORDS
-from textguard.plans.skew import hot_keys, spread_join
+from textguard.plans.skew import spread_join
 
 MAX_DF = 0.8
 MIN_COSINE = 0.7
@@ -68,7 +68,7 @@ def vocabulary(names: DataFrame, counts: DataFrame, max_df: float = MAX_DF) -> D
 
 def tfidf(counts: DataFrame, vocab: DataFrame) -> DataFrame:
     """(clean, term, df, weight): smoothed idf, each vector of length 1."""
-    weighed = spread_join(counts, vocab, "term", hot_keys(vocab, "term", "df"), ["clean"])
+    weighed = spread_join(counts, vocab, "term", lambda: (vocab, "df"), ["clean"])
     raw = F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1)
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("clean")))
     return weighed.withColumn("raw", raw).select(

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textguard.session import stage
+from textguard.session import is_small, stage
 
 HOT_SHARE = 1000
 SALTS = 64
@@ -24,15 +24,21 @@ def spread_join(
     rows: DataFrame,
     lookup: DataFrame,
     key: str,
-    hot: DataFrame,
+    counts: Callable[[], tuple[DataFrame, str]],
     spread_by: Sequence[str],
     how: str = "inner",
 ) -> DataFrame:
-    """Join many rows with a lookup that is unique per key.
+    """Join many rows with a staged lookup that is unique per key.
 
-    The rows of a hot key are dealt out over several partitions by a hash of
-    ``spread_by``, and the lookup row of that key is copied to each of them.
+    A lookup that is counted and found short is broadcast. Beyond that the rows of
+    a hot key are dealt out over several partitions by a hash of ``spread_by``, and
+    the lookup row of that key is copied to each of them; ``counts`` gives a table
+    of rows per key and the name of its count.
     """
+    if is_small(lookup):
+        return rows.join(F.broadcast(lookup), key, how)
+    numbers, n = counts()
+    hot = hot_keys(numbers, key, n)
     marked = F.broadcast(hot.select(key, F.lit(True).alias("__hot")))
     dealt = F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int")
     salted_rows = rows.join(marked, key, "left").withColumn(
@@ -93,7 +99,3 @@ def next_in_group(
         .withColumn("next", F.coalesce("__inside", "__next_head"))
         .drop("__span", "__inside", "__next_head")
     )
-
-
-def share_of(part: Column, whole: Column) -> Column:
-    return F.round(F.try_divide(part, whole), 6)

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from textguard.plans.key_clusters import cluster_keys
 from textguard.plans.key_names import cluster_names, grouped_map, key_report, standard_map, with_name_key
-from textguard.plans.key_paths import distinct_keys
+from textguard.plans.key_paths import count_documents, distinct_keys, document_samples
 from textguard.session import stage
-from textguard.sources.json_folder import load_json_folder
+from textguard.sources.json_folder import read_json_folder
 
 OK = "ok"
 NO_FILES = "no usable JSON documents"
@@ -21,7 +21,7 @@ NO_KEYS = "no keys"
 
 @dataclass(frozen=True)
 class Standardized:
-    """Results as tables; all but the status are empty if there was nothing to do."""
+    """Results as tables; all but the report are empty if there was nothing to do."""
 
     status: str
     report: DataFrame
@@ -33,15 +33,14 @@ class Standardized:
 def standardize_documents(
     documents: DataFrame, overrides: DataFrame | None = None, bad_files: DataFrame | None = None
 ) -> Standardized:
-    keys = stage(distinct_keys(documents), "distinct")
-    clusters = stage(cluster_keys(keys), "clusters")
+    samples = document_samples(documents)
+    clusters = stage(cluster_keys(distinct_keys(samples)), "clusters")
     mapping = stage(standard_map(clusters, overrides), "mapping")
     names = cluster_names(with_name_key(clusters), overrides)
-    n_files = documents.agg(F.count(F.lit(1))).scalar()
     status = OK
     if mapping.isEmpty():
-        status = NO_FILES if documents.isEmpty() else NO_KEYS
-    report = key_report(n_files, mapping).withColumn("status", F.lit(status))
+        status = NO_FILES if samples.isEmpty() else NO_KEYS
+    report = key_report(count_documents(samples), mapping).withColumn("status", F.lit(status))
     return Standardized(status, report, mapping, names, bad_files)
 
 
@@ -51,7 +50,7 @@ def standardize_folder(
     pattern: str = "*.json",
     overrides: DataFrame | None = None,
 ) -> Standardized:
-    documents, bad_files = load_json_folder(spark, folder, pattern)
+    documents, bad_files = read_json_folder(spark, folder, pattern)
     return standardize_documents(documents, overrides, bad_files)
 
 

@@ -15,10 +15,11 @@ def parse_documents(rows: DataFrame, path: Column, json: Column) -> DataFrame:
     return rows.select(path.alias("file_path"), F.try_parse_json(json).alias("data"))
 
 
-def load_json_folder(
+def read_json_folder(
     spark: SparkSession, folder: str, pattern: str = "*.json"
 ) -> tuple[DataFrame, DataFrame]:
-    """Documents and bad files of one folder level; each file is one document.
+    """All files of one folder level, each one document, and the bad files among
+    them, which have no data.
 
     No matching file is no error: both tables are then empty.
     """
@@ -29,5 +30,12 @@ def load_json_folder(
         .text(folder)
     )
     parsed = parse_documents(files, F.col("_metadata.file_path"), F.col("value"))
-    good = parsed.filter(F.col("data").isNotNull())
-    return good, parsed.filter(F.col("data").isNull()).select("file_path")
+    return parsed, parsed.filter(F.col("data").isNull()).select("file_path")
+
+
+def load_json_folder(
+    spark: SparkSession, folder: str, pattern: str = "*.json"
+) -> tuple[DataFrame, DataFrame]:
+    """Good documents and bad files."""
+    parsed, bad = read_json_folder(spark, folder, pattern)
+    return parsed.filter(F.col("data").isNotNull()), bad
