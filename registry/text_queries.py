@@ -274,6 +274,24 @@ def valid_json(spark, folder):
     return verdicts(df, ["event_id"], "x", rules.valid_json())
 
 
+SOURCE = """
+    concat('def size_of(x):', chr(10), CASE p_type WHEN 'PROMO' THEN '' ELSE '    ' END, 'return ',
+        p_size, CASE WHEN p_size < 5 THEN ' +' ELSE '' END)
+"""
+
+
+@query(
+    "valid_python",
+    f"""
+    SELECT p_partkey, CASE WHEN ok THEN x END AS sanitized, {sql.yes_no('NOT ok')}
+    FROM (SELECT p_partkey, {SOURCE} AS x, p_type <> 'PROMO' AND p_size >= 5 AS ok FROM part)
+    """,
+)
+def valid_python(spark, folder):
+    df = spread(table(spark, folder, "part").selectExpr("p_partkey", f"{SOURCE} AS x"))
+    return verdicts(df, ["p_partkey"], "x", rules.valid_python())
+
+
 @query(
     "valid_url",
     f"""

@@ -152,7 +152,9 @@ def gibberish(
     neighbour. A language without a model gets no verdict.
     """
     whole = F.col(text)
-    units = tx.sentences(whole) if match_type == "sentence" else F.array(whole)
+    units = tx.sentences(whole)
+    if match_type == "full":
+        units = F.when(whole.isNotNull(), F.array(whole))
     bits = _mean_bits(F.transform(units, letters), F.col(lang), model.bits)
     known = {name: stats for name, stats in model.stats.items() if stats[1]}
     mean, sd = F.lit(None).cast("double"), F.lit(None).cast("double")

@@ -165,7 +165,6 @@ def financial_tone(
     negative: Sequence[str] = wl.NEGATIVE,
 ) -> Rule:
     """The tone must be the expected one, which may differ from row to row."""
-    wanted = F.lit(expected) if isinstance(expected, str) else expected
 
     def tone(text: Column) -> Column:
         sign = F.signum(compound(text, positive, negative))
@@ -173,7 +172,7 @@ def financial_tone(
         return F.get(names, sign.cast("int") + 1)
 
     return Rule(
-        "financial_tone", lambda tone: flag(tone != wanted), measure=tone, details={"tone": itself}
+        "financial_tone", lambda tone: flag(tone != expected), measure=tone, details={"tone": itself}
     )
 
 

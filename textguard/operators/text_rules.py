@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ast
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -187,6 +188,22 @@ def valid_json() -> Rule:
     return Rule("valid_json", lambda text: flag(~is_json(text)))
 
 
+def _parses(source: str | None) -> bool | None:
+    if source is None:
+        return None
+    try:
+        ast.parse(source)
+    except (SyntaxError, ValueError, MemoryError, RecursionError):
+        return False
+    return True
+
+
+def valid_python() -> Rule:
+    """Python source that parses; nothing of it is run."""
+    parses = F.pandas_udf(lambda sources: sources.map(_parses).astype("boolean"), "boolean")
+    return Rule("valid_python", lambda good: flag(~good), measure=lambda text: parses(text))
+
+
 def valid_url() -> Rule:
     """Syntax only; whether a URL answers is a join with a table of probes."""
     return Rule("valid_url", lambda text: flag(~tx.matches_fully(text, HTTP_URL)))
@@ -220,7 +237,6 @@ def price_pattern(code: str) -> str:
 def quotes_price(expected: Column | str | None = None) -> Rule:
     """No price in the expected currency, which may differ from row to row; with
     no expected currency no price at all."""
-    wanted = F.lit(expected) if expected is None or isinstance(expected, str) else expected
 
     def quoted(text: Column) -> Column:
         return F.array_compact(
@@ -228,6 +244,7 @@ def quotes_price(expected: Column | str | None = None) -> Rule:
         )
 
     def risk(codes: Column) -> Column:
+        wanted = expected if isinstance(expected, Column) else F.lit(expected).cast("string")
         return flag(F.when(wanted.isNull(), F.size(codes) > 0).otherwise(F.array_contains(codes, wanted)))
 
     return Rule("quotes_price", risk, measure=quoted, details={"quoted": itself})
