@@ -279,14 +279,20 @@ def key_clusters_fallback(spark, folder):
     return kc.cluster_keys(flags.distinct())
 
 
+def standard_map_of(spark, folder, overrides=None):
+    clusters = key_clusters_of(spark, folder)
+    return kn.standard_map(clusters, stage(kn.cluster_names(clusters, overrides), "names"))
+
+
 @query("cluster_names", f"{WITH_NAMES} SELECT name_key, cluster_id, standard_key FROM standard")
 def cluster_names(spark, folder):
-    return kn.cluster_names(kn.with_name_key(key_clusters_of(spark, folder)))
+    names = kn.cluster_names(key_clusters_of(spark, folder))
+    return names.select("name_key", "cluster_id", "standard_key")
 
 
 @query("key_standard_map", f"{WITH_NAMES} SELECT * FROM mapping")
 def key_standard_map(spark, folder):
-    return kn.standard_map(key_clusters_of(spark, folder))
+    return standard_map_of(spark, folder)
 
 
 GIVEN = "concat('given_', lower(replace(p_name, ' ', '_')))"
@@ -309,7 +315,7 @@ def key_override(spark, folder):
         part.filter("p_partkey < p_size").selectExpr("concat('cluster_', p_size)", GIVEN)
     )
     one = given.groupBy("name_key").agg(F.min("standard_key").alias("standard_key"))
-    return kn.standard_map(key_clusters_of(spark, folder), one)
+    return standard_map_of(spark, folder, one)
 
 
 @query(
@@ -320,7 +326,7 @@ def key_override(spark, folder):
     """,
 )
 def key_grouped_mapping(spark, folder):
-    grouped = kn.grouped_map(kn.standard_map(key_clusters_of(spark, folder)))
+    grouped = kn.grouped_map(standard_map_of(spark, folder))
     return grouped.withColumn("keys", F.array_join("keys", "|"))
 
 
@@ -329,7 +335,7 @@ def key_grouped_mapping(spark, folder):
     f"{WITH_NAMES} SELECT key, standard_key FROM mapping ORDER BY key LIMIT 10",
 )
 def key_preview(spark, folder):
-    return st.preview(kn.standard_map(key_clusters_of(spark, folder)))
+    return st.preview(standard_map_of(spark, folder))
 
 
 REPORT = """

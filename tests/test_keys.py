@@ -76,7 +76,8 @@ def test_degenerate_clusters(spark):
 def test_overrides(spark):
     df = spark.createDataFrame([("user_name", 0), ("userName", 0), ("zip", -1)], "key string, cluster_id long")
     given_names = spark.createDataFrame([("cluster_0", "login")], "name_key string, standard_key string")
-    rows = {row.key: row.standard_key for row in key_names.standard_map(df, given_names).collect()}
+    names = key_names.cluster_names(df, given_names)
+    rows = {row.key: row.standard_key for row in key_names.standard_map(df, names).collect()}
     assert rows == {"user_name": "login", "userName": "login", "zip": "zip"}
 
 

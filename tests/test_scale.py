@@ -122,3 +122,30 @@ def test_work_folder_is_the_shared_one(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(session, "work_folder", lambda spark: str(tmp_path))
     assert session.stage(spark.range(3), "x").count() == 3
     assert any(tmp_path.iterdir())
+
+
+def test_long_lexicon_gives_the_same_scores(spark, monkeypatch):
+    from textguard.operators import scored
+
+    pick = random.Random(4)
+    rows = [(i, " ".join(pick.choices("idiot the the the moron cat dog".split(), k=9))) for i in range(200)] + [(200, None)]
+    df = spark.createDataFrame(rows, "id long, text string")
+    lexicon = spark.createDataFrame([("a", "idiot", 0.3), ("b", "idiot", 0.1), ("a", "the", 0.1)], "category string, term string, weight double")
+    small = sorted(map(str, scored.lexicon_scores(df, "id", "text", lexicon).collect()))
+    monkeypatch.setattr(skew, "is_small", lambda df, rows=0: False)
+    monkeypatch.setattr(scored, "is_small", lambda df, rows=0: False)
+    assert sorted(map(str, scored.lexicon_scores(df, "id", "text", lexicon).collect())) == small
+
+
+def test_one_cluster_with_most_keys(spark, large):
+    from textguard.plans import key_clusters, key_names
+
+    keys = [f"order_total{i}" for i in range(300)] + [f"w{chr(97 + i)} x{chr(97 + j)}" for i in range(12) for j in range(12)]
+    df = spark.createDataFrame([(key,) for key in keys], "key string")
+    clusters = session.stage(key_clusters.cluster_keys(df), "clusters")
+    names = session.stage(key_names.cluster_names(clusters), "names")
+    mapping = key_names.standard_map(clusters, names).collect()
+    assert len(mapping) == len(keys)
+    assert sum(row.standard_key == "order_total" for row in mapping) == 300
+    parts = key_names.grouped_map(key_names.standard_map(clusters, names), size=50).collect()
+    assert sum(len(row["keys"]) for row in parts) == len(keys) and max(len(row["keys"]) for row in parts) < 100

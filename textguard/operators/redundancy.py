@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textguard.functions import text as tx
-from textguard.session import stage
+from textguard.session import broadcast_if_small, stage
 
 
 def _token_set(sentence: Column) -> Column:
@@ -102,7 +102,7 @@ def redundant_sentences(
     dropped = redundant_positions(df, key, text, threshold).groupBy(key).agg(
         F.collect_set("pos").alias("__dropped")
     )
-    joined = df.join(dropped, key, "left")
+    joined = df.join(broadcast_if_small(stage(dropped, "dropped")), key, "left")
     kept = F.filter(
         tx.sentences(F.col(text)), lambda _, at: ~F.array_contains(F.col("__dropped"), at)
     )

@@ -18,7 +18,8 @@ from textguard.functions import text as tx
 from textguard.functions import wordlists as wl
 from textguard.functions.wordlists import Entry
 from textguard.operators.rule import Rule, flag, itself
-from textguard.session import broadcast_if_small
+from textguard.plans.skew import spread_join
+from textguard.session import is_small, stage
 
 INLINE_ENTRIES = 500
 
@@ -225,20 +226,22 @@ def lexicon_scores(
 ) -> DataFrame:
     """Score words against a lexicon table ``(category, term, weight)`` of any length.
 
-    Only the words that hit are grouped again, as ``(key, category)`` sums, and
-    every text comes back once per category. The lexicon is broadcast if counting
-    shows it short; otherwise the words of each text are counted before the join,
-    so a frequent word costs one row per text, not one per use.
+    Every text comes back once per category. A lexicon that counting shows short is
+    broadcast, and only the words that hit are shuffled, as sums per text. For a
+    longer one the words of each text are counted first, so that a frequent word is
+    one row per text, and the rows of such a word are spread over several tasks.
     """
-    counted = (
-        df.select(key, F.explode(tx.words(F.col(text))).alias("term"))
-        .groupBy(key, "term")
-        .agg(F.count(F.lit(1)).alias("uses"))
-    )
-    totals = (
-        counted.join(broadcast_if_small(lexicon), "term")
-        .groupBy(key, "category")
-        .agg(F.sum(F.col("weight") * F.col("uses")).alias("total"))
+    words = df.select(key, F.explode(tx.words(F.col(text))).alias("term"))
+    if is_small(lexicon):
+        hits = words.join(F.broadcast(lexicon), "term").withColumn("uses", F.lit(1))
+    else:
+        counted = stage(
+            words.groupBy(key, "term").agg(F.count(F.lit(1)).alias("uses")), "words"
+        )
+        sizes = counted.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+        hits = spread_join(counted, lexicon, "term", lambda: (sizes, "n"), [key])
+    totals = hits.groupBy(key, "category").agg(
+        F.sum(F.col("weight") * F.col("uses")).alias("total")
     )
     categories = lexicon.select("category").distinct()
     names = F.sort_array(F.collect_set("category"))

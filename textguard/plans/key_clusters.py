@@ -19,7 +19,7 @@ from textguard.plans.key_vectors import (
     tfidf,
     vocabulary,
 )
-from textguard.plans.skew import number_rows
+from textguard.plans.skew import number_rows, spread_join
 from textguard.session import stage
 
 NOISE = -1
@@ -41,11 +41,12 @@ def name_clusters(
         return with_vector.join(components, "clean", "left").select(
             "clean", F.coalesce("label", alone).alias("label")
         )
+    with_vector = with_vector.select("clean", "n_keys")
     both = edges.select(F.col("a").alias("clean"), F.col("b").alias("other")).union(
         edges.select(F.col("b").alias("clean"), F.col("a").alias("other"))
     )
     around = (
-        both.join(names.withColumnRenamed("clean", "other"), "other")
+        both.join(names.select(F.col("clean").alias("other"), "n_keys"), "other")
         .groupBy("clean")
         .agg(F.sum("n_keys").alias("around"))
     )
@@ -98,11 +99,15 @@ def cluster_keys(
     weights = stage(tfidf(counts, vocab), "weights")
     edges = stage(similar_names(weights, min_cosine), "edges")
     labels = name_clusters(names, weights, edges, min_samples)
-    labelled = stage(keys.join(labels, "clean", "left"), "labelled")
-    smallest = (
-        labelled.filter(F.col("label").isNotNull()).groupBy("label").agg(F.min("key").alias("smallest"))
+    labelled = labels.filter(F.col("label").isNotNull()).join(names, "clean")
+    labelled = stage(labelled.select("clean", "label", "first_key"), "labelled")
+    smallest = labelled.groupBy("label").agg(
+        F.min("first_key").alias("smallest"), F.count(F.lit(1)).alias("n")
     )
-    numbered = number_rows(smallest, "smallest", "cluster_id")
-    return labelled.join(numbered, "label", "left").select(
-        "key", F.coalesce("cluster_id", F.lit(NOISE)).alias("cluster_id")
+    numbered = stage(number_rows(smallest, "smallest", "cluster_id"), "numbered")
+    by_name = spread_join(
+        labelled, numbered.select("label", "cluster_id"), "label", lambda: (numbered, "n"), ["clean"]
     )
+    by_name = stage(by_name.select("clean", "cluster_id"), "by_name")
+    clustered = spread_join(keys, by_name, "clean", lambda: (names, "n_keys"), ["key"], "left")
+    return clustered.select("key", F.coalesce("cluster_id", F.lit(NOISE)).alias("cluster_id"))

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from textguard.functions.wordlists import NAME_STOP_WORDS
 from textguard.plans.key_clusters import NOISE
+from textguard.plans.skew import spread_join
+from textguard.session import stage
 
 GROUP_SIZE = 10_000
 
@@ -26,38 +28,38 @@ def longest_key() -> Column:
     return F.min_by("key", F.struct(-F.length("key"), F.col("key")))
 
 
-def with_name_key(clusters: DataFrame) -> DataFrame:
-    """Noise keys are named one by one, other keys with their cluster."""
+def _named(clusters: DataFrame) -> DataFrame:
+    """Noise keys are named one by one, other keys with their cluster. A noise key
+    may be spelled like the name of a cluster; ``name_id`` keeps them apart."""
     own = F.concat(F.lit("cluster_"), F.col("cluster_id"))
-    return clusters.withColumn(
-        "name_key", F.when(F.col("cluster_id") == NOISE, F.col("key")).otherwise(own)
+    name = F.when(F.col("cluster_id") == NOISE, F.col("key")).otherwise(own)
+    return clusters.withColumn("name_key", name).withColumn(
+        "name_id", F.concat_ws(":", "cluster_id", "name_key")
     )
 
 
-def cluster_names(named: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
-    """(name_key, standard_key), where a given name replaces the derived one.
-
-    A noise key may be spelled like a cluster's name; the two stay apart by
-    ``cluster_id``.
-    """
-    names = named.groupBy("name_key", "cluster_id").agg(
-        standard_name(longest_key()).alias("standard_key")
+def cluster_names(clusters: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
+    """(name_id, name_key, cluster_id, n_keys, standard_key), where a given name
+    replaces the derived one."""
+    names = (
+        _named(clusters)
+        .groupBy("name_id", "name_key", "cluster_id")
+        .agg(F.count(F.lit(1)).alias("n_keys"), standard_name(longest_key()).alias("standard_key"))
     )
     if overrides is None:
         return names
     given = overrides.select("name_key", F.col("standard_key").alias("given"))
-    return names.join(given, "name_key", "left").select(
-        "name_key", "cluster_id", F.coalesce("given", "standard_key").alias("standard_key")
-    )
+    return names.join(given, "name_key", "left").withColumn(
+        "standard_key", F.coalesce("given", "standard_key")
+    ).drop("given")
 
 
-def standard_map(clusters: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
-    """(key, cluster_id, name_key, standard_key): every key exactly once."""
-    named = with_name_key(clusters)
-    names = cluster_names(named, overrides)
-    return named.join(names, ["name_key", "cluster_id"]).select(
-        "key", "cluster_id", "name_key", "standard_key"
-    )
+def standard_map(clusters: DataFrame, names: DataFrame) -> DataFrame:
+    """(key, cluster_id, name_key, standard_key): every key exactly once, also where
+    one cluster holds a large part of the keys."""
+    lookup = names.select("name_id", "standard_key")
+    mapped = spread_join(_named(clusters), lookup, "name_id", lambda: (names, "n_keys"), ["key"])
+    return mapped.select("key", "cluster_id", "name_key", "standard_key")
 
 
 def grouped_map(mapping: DataFrame, size: int = GROUP_SIZE) -> DataFrame:
@@ -66,10 +68,10 @@ def grouped_map(mapping: DataFrame, size: int = GROUP_SIZE) -> DataFrame:
     A name with very many keys comes in several parts, so no list and no task
     grows without bound.
     """
-    sizes = mapping.groupBy("standard_key").agg(F.ceil(F.count(F.lit(1)) / size).alias("parts"))
-    part = F.pmod(F.xxhash64("key"), F.col("parts"))
+    sizes = stage(mapping.groupBy("standard_key").agg(F.count(F.lit(1)).alias("n")), "sizes")
+    part = F.pmod(F.xxhash64("key"), F.ceil(F.col("n") / size))
     return (
-        mapping.join(sizes, "standard_key")
+        spread_join(mapping, sizes, "standard_key", lambda: (sizes, "n"), ["key"])
         .groupBy("standard_key", part.alias("part"))
         .agg(F.sort_array(F.collect_list("key")).alias("keys"))
     )

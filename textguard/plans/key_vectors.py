@@ -27,8 +27,10 @@ def clean_key(key: Column) -> Column:
 
 
 def clean_names(keys: DataFrame) -> DataFrame:
-    """(clean, n_keys)"""
-    return keys.groupBy(clean_key(F.col("key")).alias("clean")).agg(F.count(F.lit(1)).alias("n_keys"))
+    """(clean, n_keys, first_key)"""
+    return keys.groupBy(clean_key(F.col("key")).alias("clean")).agg(
+        F.count(F.lit(1)).alias("n_keys"), F.min("key").alias("first_key")
+    )
 
 
 def key_terms(clean: Column, stop_words: Sequence[str] = KEY_STOP_WORDS) -> Column:

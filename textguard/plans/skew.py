@@ -80,22 +80,25 @@ def next_in_group(
 ) -> DataFrame:
     """Add ``next``, the values of the following row of the group, by order.
 
-    A group is cut into spans of the order column, so that the rows of one long
-    group are sorted in many tasks. Only the last row of a span looks across, at
-    the first row of the next span that has any.
+    A group is cut into spans of the order column, a number, so that the rows of
+    one long group are sorted in many tasks. Only the last row of a span looks
+    across, at the first row of the next span that has any.
     """
     row = F.struct(F.col(order), *[F.col(name) for name in values])
-    spans = df.withColumn("__span", F.floor(F.col(order) / span))
-    heads = spans.groupBy(group, "__span").agg(F.min_by(row, order).alias("__head"))
+    within = Window.partitionBy(group, "__span").orderBy(order)
+    spans = (
+        df.withColumn("__span", F.floor(F.col(order) / span))
+        .withColumn("__inside", F.lead(row).over(within))
+        .withColumn("__at", F.row_number().over(within))
+    )
+    heads = spans.filter(F.col("__at") == 1).select(group, "__span", row.alias("__head"))
     following = heads.select(
         group,
         "__span",
         F.lead("__head").over(Window.partitionBy(group).orderBy("__span")).alias("__next_head"),
     )
-    inside = F.lead(row).over(Window.partitionBy(group, "__span").orderBy(order))
     return (
-        spans.withColumn("__inside", inside)
-        .join(following, [group, "__span"])
+        spans.join(following, [group, "__span"])
         .withColumn("next", F.coalesce("__inside", "__next_head"))
-        .drop("__span", "__inside", "__next_head")
+        .drop("__span", "__inside", "__at", "__next_head")
     )

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textguard.plans.key_clusters import cluster_keys
-from textguard.plans.key_names import cluster_names, grouped_map, key_report, standard_map, with_name_key
+from textguard.plans.key_names import cluster_names, grouped_map, key_report, standard_map
 from textguard.plans.key_paths import count_documents, distinct_keys, document_samples
 from textguard.session import stage
 from textguard.sources.json_folder import read_json_folder
@@ -35,8 +35,8 @@ def standardize_documents(
 ) -> Standardized:
     samples = document_samples(documents)
     clusters = stage(cluster_keys(distinct_keys(samples)), "clusters")
-    mapping = stage(standard_map(clusters, overrides), "mapping")
-    names = cluster_names(with_name_key(clusters), overrides)
+    names = stage(cluster_names(clusters, overrides), "names")
+    mapping = stage(standard_map(clusters, names), "mapping")
     status = OK
     if mapping.isEmpty():
         status = NO_FILES if samples.isEmpty() else NO_KEYS
