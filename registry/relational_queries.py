@@ -11,6 +11,7 @@ from textguard.operators import gibberish as gib
 from textguard.operators import reachability, relevance as rel, scored, topics
 from textguard.operators.redundancy import redundant_sentences as redundant
 from textguard.operators.text_rules import valid_range_json
+from textguard.operators.toxicity_model import toxicity_by_model, train_toxicity
 from textguard.session import new_path
 from textguard.sources.tables import table, text_table
 from textguard.streaming import scan_stream
@@ -323,7 +324,16 @@ def guard_stream(spark, folder):
     )
 
 
-# --- plug-in scorers --------------------------------------------------------------------
+# --- learned and plug-in scorers --------------------------------------------------------------------
+
+
+@query("toxicity_lr")
+def toxicity_lr(spark, folder):
+    """Learned from the labels, scored on all documents; no SQL counterpart."""
+    labels = table(spark, folder, "labels").select("doc_id", F.col("toxic").cast("double"))
+    texts = documents(spark, folder)
+    model = train_toxicity(texts.join(labels, "doc_id"), "text", "toxic")
+    return toxicity_by_model(texts, "doc_id", "text", model)
 
 
 def share_of_capitals(texts):

@@ -733,6 +733,20 @@ def no_refusal(spark, folder):
     return verdicts(pairs(spark, folder), ["conv_id", "turn"], "output", rule)
 
 
+@query(
+    "refusal_report",
+    f"""
+    SELECT conv_id, count(*) AS n_rows, count(*) FILTER (risk >= 0.5) AS n_violations,
+        round(avg(risk), 6) AS avg_risk, max(risk) AS max_risk
+    FROM (SELECT conv_id, {sql.lexicon_score('output', REFUSAL)} AS risk FROM ({sql.PAIRS}))
+    GROUP BY conv_id
+    """,
+)
+def refusal_report(spark, folder):
+    rule = scored.no_refusal(lexicon=REFUSAL)
+    return violation_report(scan(pairs(spark, folder), "output", rule, out=["scan"]), ["conv_id"])
+
+
 MANIPULATION = words_and(wl.MANIPULATION, Entry("und die", 0.6, phrase=True), Entry("la de", 0.5, phrase=True))
 
 

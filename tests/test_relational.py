@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from textguard.operators import gibberish, text_rules, topics
 from textguard.operators.redundancy import redundant_positions, redundant_sentences
 from textguard.operators.rule import scan
+from textguard.operators.toxicity_model import toxicity_by_model, train_toxicity
 from textguard.streaming import scan_stream
 
 
@@ -69,6 +70,19 @@ def test_bigrams_do_not_cross_texts(spark):
     assert counts == {("en", "ab"): 1, ("en", "cd"): 1, ("en", "d "): 1, ("en", " a"): 1, ("de", "ab"): 1}
 
 
+def test_learned_toxicity(spark):
+    pick = random.Random(6)
+    rows = []
+    for i in range(200):
+        words = pick.choices("the cat sat on a mat with the dog".split(), k=8)
+        rows.append((i, " ".join(words + ["awful"] * (i % 2)), float(i % 2)))
+    df = spark.createDataFrame(rows + [(200, None, None), (201, "", None)], "id long, text string, toxic double")
+    model = train_toxicity(df, "text", "toxic")
+    done = toxicity_by_model(df, "id", "text", model).orderBy("id").collect()
+    assert [row.is_valid for row in done[:200]] == [i % 2 == 0 for i in range(200)]
+    assert done[200].is_valid is None and done[201].is_valid
+
+
 def test_topics(spark):
     rows = [(0, [1.0, 0.0], 1), (1, [0.9, 0.1], 1), (2, [0.0, 1.0], 2), (3, [0.1, 0.8], 2)]
     df = spark.createDataFrame(rows, "id long, v array<float>, label int")

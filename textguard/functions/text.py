@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 BLANKS = " \t\n\r\f"
 SENTENCE = r"[^.!?]+[.!?]*"
 WORD = r"[\p{L}\p{N}]+"
-LIMIT_TOKEN = r"[A-Za-z0-9_]+|[^A-Za-z0-9_ \t\n\r\f]"
+SPACED_TOKEN = r"[ \t\n\r\f]*(?:[A-Za-z0-9_]+|[^A-Za-z0-9_ \t\n\r\f])"
 
 
 def bind(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -53,7 +53,7 @@ def words(text: Column) -> Column:
 
 def limit_tokens(text: Column) -> Column:
     """Tokens with the blanks before them, so that joining them restores the text."""
-    return extract(text, rf"[ \t\n\r\f]*(?:{LIMIT_TOKEN})")
+    return extract(text, SPACED_TOKEN)
 
 
 def count_limit_tokens(text: Column) -> Column:
@@ -67,14 +67,36 @@ def any_of(terms: Iterable[str]) -> str:
     return "|".join(re.sub(r"([^A-Za-z0-9_ ])", r"\\\1", term) for term in ordered)
 
 
-def ascii_word(pattern: str) -> str:
+def first_of(terms: Iterable[str]) -> str:
+    """A look at the next letter, which spares most places of a text the search
+    through the whole alternation."""
+    initials = sorted({term[:1] for term in terms})
+    if not initials or "" in initials:
+        return ""
+    return "(?=[" + "".join(re.sub(r"([^A-Za-z0-9])", r"\\\1", i) for i in initials) + "])"
+
+
+def ascii_word(pattern: str, first: str = "") -> str:
     """The pattern with ASCII word edges on both sides."""
-    return f"(?<![A-Za-z0-9_])(?:{pattern})(?![A-Za-z0-9_])"
+    return f"{first}(?<![A-Za-z0-9_])(?:{pattern})(?![A-Za-z0-9_])"
 
 
-def whole_word(pattern: str) -> str:
+def whole_word(pattern: str, first: str = "") -> str:
     """The pattern where it fills whole Unicode words."""
-    return rf"(?<![\p{{L}}\p{{N}}])(?:{pattern})(?![\p{{L}}\p{{N}}])"
+    return rf"{first}(?<![\p{{L}}\p{{N}}])(?:{pattern})(?![\p{{L}}\p{{N}}])"
+
+
+def listed(terms: Iterable[str]) -> str:
+    """One of the terms, anywhere."""
+    return f"{first_of(terms)}(?:{any_of(terms)})"
+
+
+def listed_ascii_words(terms: Iterable[str]) -> str:
+    return ascii_word(any_of(terms), first_of(terms))
+
+
+def listed_words(terms: Iterable[str]) -> str:
+    return whole_word(any_of(terms), first_of(terms))
 
 
 def trim_blanks(text: Column) -> Column:

@@ -31,7 +31,7 @@ def detect_language(text: Column, function_words: FunctionWords = FUNCTION_WORDS
     ranked = F.array(
         *[
             F.struct(
-                tx.count(lowered, tx.whole_word(tx.any_of(terms))).alias("hits"),
+                tx.count(lowered, tx.listed_words(terms)).alias("hits"),
                 F.lit(-position).alias("rank"),
                 F.lit(name).alias("lang"),
             )

@@ -35,7 +35,7 @@ def lexicon_score(text: Column, lexicon: Sequence[Entry]) -> Column:
             by_weight[entry.weight].append(entry.term)
     total = F.lit(0.0)
     for weight, terms in sorted(by_weight.items()):
-        total = total + tx.count(lowered, tx.whole_word(tx.any_of(terms))) * weight
+        total = total + tx.count(lowered, tx.listed_words(terms)) * weight
     for entry in lexicon:
         if entry.phrase:
             total = total + F.when(lowered.rlike(entry.term), entry.weight).otherwise(0.0)
@@ -43,9 +43,9 @@ def lexicon_score(text: Column, lexicon: Sequence[Entry]) -> Column:
 
 
 def _anything(lexicon: Sequence[Entry]) -> str:
-    words = tx.any_of(entry.term for entry in lexicon if not entry.phrase)
+    words = [entry.term for entry in lexicon if not entry.phrase]
     phrases = [entry.term for entry in lexicon if entry.phrase]
-    return "|".join([words, *phrases] if words else phrases)
+    return "|".join([tx.listed(words), *phrases] if words else phrases)
 
 
 def by_sentence(
@@ -92,12 +92,12 @@ def nsfw(
 
 def profanity(terms: Sequence[str] = wl.PROFANITY) -> Rule:
     """Profane words are masked letter by letter."""
-    pattern = "(?i)" + tx.whole_word(tx.any_of(terms))
+    pattern = "(?i)" + tx.listed_words(terms)
 
     def fix(text: Column) -> Column:
         for length in sorted({len(term) for term in terms}, reverse=True):
-            same = tx.any_of(term for term in terms if len(term) == length)
-            text = F.regexp_replace(text, "(?i)" + tx.whole_word(same), "*" * length)
+            same = [term for term in terms if len(term) == length]
+            text = F.regexp_replace(text, "(?i)" + tx.listed_words(same), "*" * length)
         return text
 
     return Rule("profanity", lambda text: flag(text.rlike(pattern)), fix)
@@ -137,8 +137,8 @@ def compound(
 ) -> Column:
     """Balance of positive and negative words, from -1 to 1; 0 without either."""
     lowered = F.lower(text)
-    plus = tx.count(lowered, tx.whole_word(tx.any_of(positive)))
-    minus = tx.count(lowered, tx.whole_word(tx.any_of(negative)))
+    plus = tx.count(lowered, tx.listed_words(positive))
+    minus = tx.count(lowered, tx.listed_words(negative))
 
     def balance(counts: Column) -> Column:
         return F.try_divide(counts["plus"] - counts["minus"], counts["plus"] + counts["minus"])

@@ -18,6 +18,7 @@ REDACTED = "[REDACTED]"
 HTTP_URL = r"https?://[^ \t\n\r\f/?#]+(?:[/?#][^ \t\n\r\f]*)?"
 HIDDEN = r"[\p{Cf}\p{Co}\p{Cn}]"
 TAG_BASE = 0xE0000
+PREFIX_TOKENS = 500
 TAGGED = "".join(chr(code) for code in range(1, 256))
 TAGS = "".join(chr(TAG_BASE + code) for code in range(1, 256))
 
@@ -60,8 +61,7 @@ def ban_substrings(
     case = "" if case_sensitive else "(?i)"
 
     def pattern(terms: Sequence[str]) -> str:
-        body = f"(?:{tx.any_of(terms)})"
-        return case + (tx.ascii_word(body) if match_type == "word" else body)
+        return case + (tx.listed_ascii_words(terms) if match_type == "word" else tx.listed(terms))
 
     def violated(text: Column) -> Column:
         if not contains_all:
@@ -80,11 +80,11 @@ def ban_substrings(
 def competitor_check(competitors: Sequence[str], case_sensitive: bool = True) -> Rule:
     """Sentences that name a competitor are dropped; the names found are kept."""
     case = "" if case_sensitive else "(?i)"
-    anyone = case + tx.ascii_word(tx.any_of(competitors))
+    anyone = case + tx.listed_ascii_words(competitors)
 
     def found(text: Column) -> Column:
         each = [
-            F.when(text.rlike(case + tx.ascii_word(tx.any_of([name]))), name)
+            F.when(text.rlike(case + tx.listed_ascii_words([name])), name)
             for name in sorted(set(competitors))
         ]
         none = F.array().cast("array<string>")
@@ -106,7 +106,7 @@ def ban_competitors(
     competitors: Sequence[str], redact: bool = True, threshold: float = 0.5, folded_score: float = 0.4
 ) -> Rule:
     """An exact name scores 1, a name in other letter case less."""
-    exact = tx.ascii_word(tx.any_of(competitors))
+    exact = tx.listed_ascii_words(competitors)
     folded = f"(?i){exact}"
 
     def risk(text: Column) -> Column:
@@ -239,9 +239,9 @@ def quotes_price(expected: Column | str | None = None) -> Rule:
     no expected currency no price at all."""
 
     def quoted(text: Column) -> Column:
-        return F.array_compact(
-            F.array(*[F.when(text.rlike(price_pattern(code)), code) for code in CURRENCIES])
-        )
+        each = [F.when(text.rlike(price_pattern(code)), code) for code in CURRENCIES]
+        none = F.array().cast("array<string>")
+        return F.when(text.rlike("[0-9]"), F.array_compact(F.array(*each))).otherwise(none)
 
     def risk(codes: Column) -> Column:
         wanted = expected if isinstance(expected, Column) else F.lit(expected).cast("string")
@@ -295,10 +295,16 @@ def reveal_tag_text(text: Column) -> Column:
 
 def token_limit(limit: int) -> Rule:
     """At most ``limit`` tokens; the repair keeps the first ones."""
+
+    def fix(text: Column) -> Column:
+        if limit > PREFIX_TOKENS:
+            return F.array_join(F.slice(tx.limit_tokens(text), 1, limit), "")
+        return F.regexp_extract(text, rf"\A(?:{tx.SPACED_TOKEN}){{0,{limit}}}", 0)
+
     return Rule(
         "token_limit",
         lambda n_tokens: flag(n_tokens > limit),
-        lambda text: F.array_join(F.slice(tx.limit_tokens(text), 1, limit), ""),
+        fix,
         measure=tx.count_limit_tokens,
         details={"n_tokens": itself},
     )
