@@ -13,6 +13,7 @@ from collections.abc import Callable, Mapping, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textguard.functions import text as tx
 from textguard.functions import wordlists as wl
@@ -264,5 +265,5 @@ def scorer_rule(
     def batches(texts: pd.Series) -> pd.Series:
         return score(texts).astype("float64")
 
-    scorer = F.pandas_udf(batches, "double")
+    scorer = F.pandas_udf(batches, T.DoubleType())
     return Rule(name, lambda text: tx.clip(scorer(text)), limit=threshold)

@@ -200,7 +200,7 @@ def _parses(source: str | None) -> bool | None:
 
 def valid_python() -> Rule:
     """Python source that parses; nothing of it is run."""
-    parses = F.pandas_udf(lambda sources: sources.map(_parses).astype("boolean"), "boolean")
+    parses = F.pandas_udf(lambda sources: sources.map(_parses).astype("boolean"), T.BooleanType())
     return Rule("valid_python", lambda good: flag(~good), measure=lambda text: parses(text))
 
 
