@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from textguard.functions import text as tx
 
-MAX_TOPICS = 10_000
+MAX_TOPICS = 1_000
 
 
 def topic_centroids(vectors: DataFrame, label: str, vector: str) -> DataFrame:
