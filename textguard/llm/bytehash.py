@@ -119,3 +119,55 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> list[np.nd
         else:
             out.append(joined[:0])
     return out
+
+
+_inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
+_forward = powers(BASE, 1)
+_backward = powers(_inverse, 1)
+
+
+class RollingHash:
+    """Hashes of all substrings of a byte array, from one prefix sum modulo 2 ** 64."""
+
+    def __init__(self, data: np.ndarray):
+        global _forward, _backward
+        if len(_forward) < len(data) + 1:
+            _forward = powers(BASE, len(data) + 1)
+            _backward = powers(_inverse, len(data) + 1)
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(BYTE_VALUES[data] * _forward[: len(data)], out=sums[1:])
+        self.sums = sums
+
+    def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The hash of the bytes from each start to before each end."""
+        raw = (self.sums[ends] - self.sums[starts]) * _backward[starts]
+        return mix(raw + (ends - starts).astype(np.uint64))
+
+    def all(self, size: int) -> np.ndarray:
+        """The hash at each place where so many bytes follow."""
+        count = len(self.sums) - size
+        if count <= 0:
+            return np.zeros(0, np.uint64)
+        return mix((self.sums[size:] - self.sums[:count]) * _backward[:count] + np.uint64(size))
+
+
+def sliding_minimum(values: np.ndarray, size: int) -> np.ndarray:
+    """The smallest of each ``size`` neighbours, by doubling the span looked at."""
+    span = 1
+    while 2 * span <= size:
+        values = np.minimum(values[:-span], values[span:])
+        span *= 2
+    rest = size - span
+    return np.minimum(values[: len(values) - rest], values[rest:]) if rest else values
+
+
+def pieces(offsets: np.ndarray, overlap: int) -> Iterator[tuple[int, int, int, int]]:
+    """(first row, end row, first byte, end byte) of chunks; a very long text comes in
+    pieces that share ``overlap`` bytes, so that memory is bounded by the chunk."""
+    for low, high in chunks(offsets):
+        first, last = int(offsets[low]), int(offsets[high])
+        if last - first <= 4 * CHUNK_BYTES:
+            yield low, high, first, last
+        else:
+            for at in range(first, max(first + 1, last - overlap), CHUNK_BYTES):
+                yield low, high, at, min(last, at + CHUNK_BYTES + overlap)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textguard.llm import minhash, mixing, preferences, quality, sharding, winnow
+from textguard.llm import minhash, mixing, preferences, quality, sharding, substrings, winnow
 from textguard.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -265,3 +265,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
     return groups.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op9_repeated_substrings")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
