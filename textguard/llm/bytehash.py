@@ -171,3 +171,40 @@ def pieces(offsets: np.ndarray, overlap: int) -> Iterator[tuple[int, int, int, i
         else:
             for at in range(first, max(first + 1, last - overlap), CHUNK_BYTES):
                 yield low, high, at, min(last, at + CHUNK_BYTES + overlap)
+
+
+# Tokens of letters and digits: every byte but ASCII signs and controls.
+BREAKS = np.zeros(256, bool)
+BREAKS[:128] = True
+BREAKS[[*range(48, 58), *range(65, 91), *range(97, 123)]] = False
+PREFIXES = (3, 4, 5, 6)
+
+
+def token_features(
+    data: np.ndarray, offsets: np.ndarray
+) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """(features, bounds, starts, stops) of the lower-cased tokens of each text.
+
+    A feature column holds one hash per token: of the token, then of its first bytes for
+    each length in PREFIXES; 0 where a token is not longer than that.
+    """
+    solid = ~BREAKS[data]
+    heads = solid.copy()
+    heads[1:] &= ~solid[:-1]
+    inner = offsets[:-1][offsets[:-1] < len(data)]
+    heads[inner] = solid[inner]
+    starts = np.flatnonzero(heads)
+    tails = solid.copy()
+    tails[:-1] &= ~solid[1:]
+    ends = offsets[1:][offsets[1:] > 0] - 1
+    tails[ends] = solid[ends]
+    stops = np.flatnonzero(tails) + 1
+    bounds = np.searchsorted(starts, offsets).astype(np.int64)
+    rolling = RollingHash(LOWER[data])
+    columns = [rolling.of(starts, stops)]
+    for size in PREFIXES:
+        long = stops - starts > size
+        hashes = np.zeros(len(starts), np.uint64)
+        hashes[long] = mix(rolling.of(starts[long], starts[long] + size) + np.uint64(size))
+        columns.append(hashes)
+    return columns, bounds, starts, stops

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textguard.llm import minhash, mixing, preferences, quality, sharding, substrings, winnow
+from textguard.llm import (
+    minhash,
+    mixing,
+    preferences,
+    quality,
+    secrets,
+    sharding,
+    substrings,
+    toxicity,
+    warc,
+    winnow,
+)
 from textguard.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -271,3 +282,49 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     removed = substrings.remove_repeats(table(spark, sf_dir, "documents"))
     return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query("op3_secret_scan")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    base = F.filter("secrets", lambda s: s["kind"].isin([rule.name for rule in secrets.BASE_RULES]))
+
+    def count(kind: str):
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        count("assign").alias("n_assign"),
+        count("access").alias("n_access"),
+        count("hex").alias("n_hex"),
+        F.sha2(secrets.spans_text(base), 256).alias("base_sha256"),
+        secrets.spans_text(F.col("secrets")).alias("spans"),
+    )
+
+
+WARC_SQL = f"""
+WITH payloads AS (
+  SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes,
+    sha256(coalesce(html, '')) AS payload_digest FROM pages),
+firsts AS (
+  SELECT payload_digest, min(page_id) AS first FROM payloads
+  WHERE payload_bytes >= {warc.REVISIT_BYTES} GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN first IS NULL OR first IS NOT DISTINCT FROM page_id THEN 'response' ELSE 'revisit' END
+    AS record_type,
+  CASE WHEN first IS DISTINCT FROM page_id THEN first END AS refers_to
+FROM payloads LEFT JOIN firsts USING (payload_digest)
+"""
+
+
+@query("op2_warc_bundles", WARC_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.archive(spark, table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op7_toxic_spans")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select("doc_id", "held_out", "score", "predicted")
