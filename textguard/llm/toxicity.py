@@ -18,7 +18,9 @@ from textguard.session import broadcast_if_small, stage
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # A feature is learned from if this share of the toxic texts, and this many, hold it.
-SHARE, LEAST = 0.002, 4
+SHARE, LEAST = 0.01, 4
+# Added to twice the logarithm of the number of candidates, the least gain of a feature.
+CHANCE = 6.0
 # Tokens with a feature of such odds ratio (as a logarithm) are the labelled toxic tokens.
 TOXIC_ODDS = 3.0
 # Texts of either label that the field is fitted on, and tokens in a training segment.
@@ -105,7 +107,7 @@ def _count_features(texts: DataFrame, only: np.ndarray | None = None) -> DataFra
 def _segments(
     rows: list[tuple[str, int]], lookup: Lookup, marks: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(token of each feature, feature, tags, lengths): sampled texts as segments of
+    """(token of each feature, feature, tags, weights): sampled texts as segments of
     SEGMENT tokens. A token is tagged toxic if the text is and a marked feature is on it."""
     at, numbers, tags, lengths, total = [], [], [], [], 0
     for text, toxic in rows:
@@ -126,7 +128,7 @@ def _segments(
         tags.append(np.full(-count % SEGMENT, -1))
         lengths += [SEGMENT] * (count // SEGMENT) + ([count % SEGMENT] if count % SEGMENT else [])
     none = np.zeros(0, np.int64)
-    return (
+    return _collapse(
         np.concatenate(at or [none]),
         np.concatenate(numbers or [none]),
         np.concatenate(tags or [none]),
@@ -134,8 +136,28 @@ def _segments(
     )
 
 
+def _collapse(
+    at: np.ndarray, numbers: np.ndarray, tags: np.ndarray, lengths: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Segments without any feature are alike if of one length: one stands for all of them,
+    with their number as its weight."""
+    telling = np.zeros(len(lengths), bool)
+    telling[at // SEGMENT] = True
+    kept = np.flatnonzero(telling)
+    sizes, first, counts = np.unique(
+        lengths[~telling], return_index=True, return_counts=True
+    )
+    alike = np.flatnonzero(~telling)[first]
+    new = np.zeros(len(lengths), np.int64)
+    new[kept] = np.arange(len(kept))
+    picked = np.concatenate([kept, alike])
+    weights = np.concatenate([np.ones(len(kept)), counts.astype(float)])
+    moved = new[at // SEGMENT] * SEGMENT + at % SEGMENT
+    return moved, numbers, tags.reshape(-1, SEGMENT)[picked].ravel(), weights
+
+
 def _fit(
-    at: np.ndarray, numbers: np.ndarray, tags: np.ndarray, lengths: np.ndarray, n_features: int
+    at: np.ndarray, numbers: np.ndarray, tags: np.ndarray, counts: np.ndarray, n_features: int
 ) -> tuple[np.ndarray, np.ndarray, float]:
     """Weights, transitions and plain score by gradient ascent on the likelihood of the tags.
 
@@ -145,9 +167,9 @@ def _fit(
     weights = np.zeros(n_features)
     moves = np.array([[0.0, -2.0], [0.0, 0.0]])
     plain = -2.0
-    if len(lengths) == 0:
+    if len(counts) == 0:
         return weights, moves, plain
-    shape = (len(lengths), SEGMENT)
+    shape = (len(counts), SEGMENT)
     tag = tags.reshape(shape)
     inside = tag >= 0
     rates = [np.zeros(n_features), np.zeros((2, 2)), 0.0]
@@ -167,7 +189,7 @@ def _fit(
             backward[:, t] = np.where(inside[:, t + 1, None], back, 0.0)
         both = forward + backward
         chance = 1 / (1 + np.exp(np.clip(both[..., 0] - both[..., 1], -500, 500)))
-        slack = np.where(inside, (tag == 1) - chance, 0.0)
+        slack = np.where(inside, (tag == 1) - chance, 0.0) * counts[:, None]
         of_feature = np.bincount(numbers, slack.ravel()[at], n_features)
         whole = np.logaddexp(both[:, 0, 0], both[:, 0, 1])[:, None]
         of_moves = np.zeros((2, 2))
@@ -176,9 +198,9 @@ def _fit(
             for b in (0, 1):
                 path = forward[:, :-1, a] + moves[a, b] + emit[:, 1:, b] + backward[:, 1:, b] - whole
                 seen = (tag[:, :-1] == a) & (tag[:, 1:] == b)
-                of_moves[a, b] = np.sum((seen - np.exp(np.minimum(path, 0.0)))[pair])
+                of_moves[a, b] = np.sum(((seen - np.exp(np.minimum(path, 0.0))) * counts[:, None])[pair])
         of_moves[0, 0] = of_moves[1, 0] = 0.0
-        scale = 1.0 / max(1, len(lengths))
+        scale = 1.0 / counts.sum()
         slopes = [
             of_feature * scale - DECAY * scale * weights,
             of_moves * scale - DECAY * scale * moves,
@@ -331,7 +353,13 @@ def train(
     a = np.array([inside[name] for name in names], float)
     b = np.array([outside.get(name, 0) for name in names], float)
     odds = np.log((a + 0.5) / (n_toxic - a + 0.5)) - np.log((b + 0.5) / (n_clean - b + 0.5))
-    telling = np.abs(odds) >= 1.0
+    # A frequency ratio must also be no accident among so many candidates.
+    seen, share = a + b, n_toxic / max(1, n_toxic + n_clean)
+    gain = 2 * (
+        a * np.log(np.maximum(a, 1e-9) / np.maximum(seen * share, 1e-9))
+        + b * np.log(np.maximum(b, 1e-9) / np.maximum(seen * (1 - share), 1e-9))
+    )
+    telling = (odds >= 1.0) & (gain >= 2 * np.log(max(1, len(features))) + CHANCE)
     features, odds = features[telling], odds[telling]
     lookup = Lookup(features)
 
