@@ -2,16 +2,33 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BLANKS = r"[\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 ROW_ID, ROW_TEXT = "__row_id", "__row_text"
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files go when a write ends: every step here ends in a written table, so
+    nothing reads them again, and the next step has the disk to itself."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z and nothing else; texts of one byte per character take the
     built-in, which for them does the same."""

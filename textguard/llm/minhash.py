@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textguard.llm.bytehash import BASE, chunks, mix, numbers, shingle_sets, text_buffers
-from textguard.llm.common import ROW_ID, ROW_TEXT, same_row, with_row_key
+from textguard.llm.common import ROW_ID, ROW_TEXT, same_row, shuffles_dropped, with_row_key
 from textguard.plans.components import connected_components
 from textguard.session import broadcast_if_small, stage
 
@@ -101,32 +101,46 @@ def _set_writer(text: str, shingle: int) -> Callable[[Batches], Batches]:
     return run
 
 
-def _confirmer(percent: int) -> Callable[[Batches], Batches]:
+def _measurer() -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            linked = []
+            shared, total = [], []
             for left, right in zip(batch.column("left"), batch.column("right"), strict=True):
                 a = np.frombuffer(left.as_buffer(), np.uint64)
                 b = np.frombuffer(right.as_buffer(), np.uint64)
                 both = np.sort(np.concatenate([a, b]))
-                shared = int(np.count_nonzero(both[1:] == both[:-1]))
-                linked.append(100 * shared >= percent * (len(a) + len(b) - shared))
+                shared.append(int(np.count_nonzero(both[1:] == both[:-1])))
+                total.append(len(both) - shared[-1])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_())],
-                ["a", "b", "linked"],
+                [batch.column("a"), batch.column("b"), pa.array(shared), pa.array(total)],
+                ["a", "b", "shared", "total"],
             )
 
     return run
 
 
-def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough. A hub's set goes to the many
-    pairs that hold it by a join that splits such keys."""
+def _measure(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
+    """How much the full sets of the pairs (a, b) share, and the size of their union. A hub's
+    set goes to the many pairs that hold it by a join that splits such keys."""
     lefts = sets.select(F.col("rep").alias("a"), F.col("members").alias("left"))
     rights = sets.select(F.col("rep").alias("b"), F.col("members").alias("right"))
     full = pairs.select("a", "b").join(lefts, "a").join(rights, "b")
-    tested = full.mapInArrow(_confirmer(percent), "a long, b long, linked boolean")
-    return tested.filter("linked").select("a", "b")
+    return stage(full.mapInArrow(_measurer(), "a long, b long, shared long, total long"), name)
+
+
+def _links(measured: DataFrame, percent: int) -> DataFrame:
+    return measured.filter(F.col("shared") * 100 >= F.col("total") * percent).select("a", "b")
+
+
+def _open_rows(members: DataFrame, links: DataFrame, name: str) -> DataFrame:
+    """The members of buckets that hold several components, with their ``label``."""
+    labels = stage(connected_components(links), f"{name}-labels")
+    labelled = members.join(labels, members["rep"] == labels["node"], "left").select(
+        "bucket", "rep", "n", F.coalesce("label", "rep").alias("label")
+    )
+    mixed = labelled.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+    mixed = stage(mixed.filter("lo < hi").select("bucket"), f"{name}-mixed")
+    return stage(labelled.join(broadcast_if_small(mixed), "bucket"), name)
 
 
 def near_duplicates(
@@ -148,9 +162,13 @@ def near_duplicates(
     2. Classes that share a band key are candidates. Each class is first compared with one
        other only: the smallest id of a bucket, of all its buckets the one it meets most
        often. So a group of thousands costs one comparison a member, not one a pair.
-    3. In buckets that still hold several components, every pair of classes from different
-       components is compared, unless it was or its set sizes rule it out. A pair within one
-       component could not change the result; no other candidate is left out.
+    3. In buckets that still hold several components, each class is compared with the bucket's
+       pivot, a class of the component with most members there: one comparison a member.
+    4. In buckets that hold several components even then, pairs of classes from different
+       components are compared, unless it is proven that they are not similar: their set
+       sizes differ too much, or their distances from the pivot do (one less similarity is a
+       metric). A pair within one component could not change the
+       result, and no other candidate is left out.
 
     With 40 bands of 5 values a link at the limit of 0.8 is missed by all bands with a
     chance of 1.3e-7. Links are confirmed on the full sets of 64-bit shingle hashes.
@@ -160,6 +178,14 @@ def near_duplicates(
     links join) and keep or lose all its rows; rows with a NULL id link with nothing, have a NULL
     component and are kept; other columns play no part; an empty table gives an empty table.
     """
+    with shuffles_dropped(docs.sparkSession):
+        verdicts = _groups(docs, id_column, text, shingle, percent, bands, per_band)
+        return stage(verdicts, "minhash-verdicts")
+
+
+def _groups(
+    docs: DataFrame, id_column: str, text: str, shingle: int, percent: int, bands: int, per_band: int
+) -> DataFrame:
     columns = docs.select(F.col(id_column).cast("long").alias(id_column), F.col(text))
     keyed = with_row_key(columns, id_column, text)
     slim = keyed.select(ROW_ID, ROW_TEXT, text)
@@ -180,7 +206,10 @@ def near_duplicates(
     entries = classes.select("rep", "n", F.explode("bands").alias("bucket"))
     hubs = entries.groupBy("bucket").agg(F.min("rep").alias("hub"), F.max("rep").alias("last"))
     shared = stage(hubs.filter(F.col("hub") < F.col("last")).select("bucket", "hub"), "minhash-buckets")
-    members = stage(entries.join(broadcast_if_small(shared), "bucket"), "minhash-members")
+    members = stage(
+        entries.join(broadcast_if_small(shared), "bucket").select("bucket", "hub", "rep", "n"),
+        "minhash-members",
+    )
 
     met = members.filter(F.col("rep") != F.col("hub")).groupBy("rep", "hub").agg(
         F.count(F.lit(1)).alias("times")
@@ -205,29 +234,53 @@ def near_duplicates(
         found.select("rep", text).mapInArrow(_set_writer(text, shingle), "rep long, members binary"),
         "minhash-sets",
     )
-    links = stage(_confirm(first, sets, percent), "minhash-links")
-    labels = stage(connected_components(links), "minhash-labels")
-
-    labelled = members.join(labels, members["rep"] == labels["node"], "left").select(
-        "bucket", "rep", "n", F.coalesce("label", "rep").alias("label")
+    measured = _measure(first, sets, "minhash-measured")
+    links = _links(measured, percent)
+    rows = _open_rows(members, links, "minhash-open")
+    pivots = (
+        rows.groupBy("bucket", "label")
+        .agg(F.count(F.lit(1)).alias("size"), F.min("rep").alias("least"))
+        .groupBy("bucket")
+        .agg(F.max(F.struct("size", -F.col("least")))["col2"].alias("minus"))
+        .select("bucket", (-F.col("minus")).alias("pivot"))
     )
-    mixed = labelled.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-    mixed = stage(mixed.filter("lo < hi").select("bucket"), "minhash-mixed")
-    open_rows = stage(labelled.join(broadcast_if_small(mixed), "bucket"), "minhash-open")
-    left = open_rows.select("bucket", *[F.col(c).alias(f"l_{c}") for c in ("rep", "n", "label")])
-    right = open_rows.select("bucket", *[F.col(c).alias(f"r_{c}") for c in ("rep", "n", "label")])
-    across = (
-        left.join(right, "bucket")
-        .filter(
-            (F.col("l_rep") < F.col("r_rep"))
-            & (F.col("l_label") != F.col("r_label"))
-            & (F.least("l_n", "r_n") * 100 >= F.greatest("l_n", "r_n") * percent)
-        )
-        .select(F.col("l_rep").alias("a"), F.col("r_rep").alias("b"))
-        .distinct()
+    pivots = stage(pivots, "minhash-pivots")
+    to_pivots = rows.join(broadcast_if_small(pivots), "bucket").filter("rep != pivot")
+    to_pivots = to_pivots.select(
+        F.least("pivot", "rep").alias("a"), F.greatest("pivot", "rep").alias("b")
+    ).distinct()
+    again = stage(to_pivots.join(measured, ["a", "b"], "left_anti"), "minhash-hubs")
+    known = measured.union(_measure(again, sets, "minhash-measured-hubs"))
+    links = _links(known, percent)
+    rows = _open_rows(members, links, "minhash-left")
+
+    most = max(1 - percent / 100, 0.01)
+    far = known.select("a", "b", (1 - F.col("shared") / F.col("total")).alias("far"))
+    rows = rows.join(broadcast_if_small(pivots), "bucket").withColumns(
+        {"a": F.least("pivot", "rep"), "b": F.greatest("pivot", "rep")}
+    )
+    placed = rows.join(far, ["a", "b"], "left").select(
+        "bucket", "rep", "n", "label", F.coalesce("far", F.lit(0.0)).alias("far")
+    )
+    cell = F.floor(F.col("far") / most)
+    left = placed.select(
+        "bucket", cell.alias("cell"), *[F.col(c).alias(f"l_{c}") for c in ("rep", "n", "label", "far")]
+    )
+    right = placed.select(
+        "bucket",
+        F.explode(F.array(cell - 1, cell, cell + 1)).alias("cell"),
+        *[F.col(c).alias(f"r_{c}") for c in ("rep", "n", "label", "far")],
+    )
+    possible = (
+        (F.col("l_rep") < F.col("r_rep"))
+        & (F.col("l_label") != F.col("r_label"))
+        & (F.least("l_n", "r_n") * 100 >= F.greatest("l_n", "r_n") * percent)
+        & (F.abs(F.col("l_far") - F.col("r_far")) <= most + 1e-9)
     )
-    second = stage(across.join(first, ["a", "b"], "left_anti"), "minhash-second")
-    more = _confirm(second, sets, percent)
+    across = left.join(right, ["bucket", "cell"]).filter(possible)
+    across = across.select(F.col("l_rep").alias("a"), F.col("r_rep").alias("b")).distinct()
+    rest = stage(across.join(known, ["a", "b"], "left_anti"), "minhash-rest")
+    more = _links(_measure(rest, sets, "minhash-measured-rest"), percent)
     # Rows that share an id are one document, whatever their texts.
     several = usable.groupBy(ROW_ID).agg(
         F.min("digest").alias("lo"), F.max("digest").alias("hi")
@@ -274,7 +327,7 @@ def drop_near_duplicates(
     The keys to drop are joined back, never the texts of a group gathered. Rows that
     repeat an id are cut to one, found by a count of ids.
     """
-    verdicts = stage(near_duplicates(docs, id_column, text, shingle, percent), "minhash-verdicts")
+    verdicts = near_duplicates(docs, id_column, text, shingle, percent)
     gone = verdicts.filter(~F.col("kept")).select(ROW_ID, ROW_TEXT).distinct()
     gone = broadcast_if_small(stage(gone, "minhash-gone"))
     keyed = with_row_key(docs, id_column, text)

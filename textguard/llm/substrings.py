@@ -5,15 +5,15 @@ from __future__ import annotations
 import hashlib
 import sys
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textguard.llm.bytehash import RollingHash, pieces, sliding_minimum, text_buffers
+from textguard.llm.common import shuffles_dropped
 from textguard.session import stage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -22,25 +22,9 @@ LENGTH = 100
 GRAM = 48
 PLACE = np.uint64((1 << 23) - 1)
 NO_ID = (1 << 63) - 1
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 Batches = Iterator[pa.RecordBatch]
 
 
-@contextmanager
-def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files go when a write ends: every step here ends in a written table, so
-    nothing reads them again, and the next step has the disk to itself."""
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(CLEANUP)
-        else:
-            spark.conf.set(CLEANUP, before)
-
-
 def _repeated_before(keys: np.ndarray) -> np.ndarray:
     """Whether the same key stands earlier in the array."""
     order = np.argsort(keys, kind="stable")
@@ -270,7 +254,7 @@ def remove_repeats(
         F.hash(F.col(text)).alias("key"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
-    with _shuffles_dropped(spark):
+    with shuffles_dropped(spark):
         buckets = texts.select("text").mapInArrow(_bucket_finder(length, gram), "bucket long")
         counted = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
         shared = stage(counted.filter("n > 1").select("bucket"), "repeat-buckets")
