@@ -68,7 +68,7 @@ def lexicon_score(x: str, lexicon: Sequence[Entry]) -> str:
 
 
 def pii_pattern(rule: PiiRule) -> str:
-    body = rule.pattern.replace("{edge}", r"\b")
+    body = rule.pattern.replace("{edge}", r"\b").replace("*+", "*")
     if rule.lead:
         return f"({rule.lead})({body})"
     return bounded(body) if rule.edges else f"(?:{body})"

@@ -118,11 +118,11 @@ class PiiRule(NamedTuple):
     needs: str = "[0-9]"
 
 
-# Personal data, in the order in which the rules apply. Groups repeat
-# a bounded number of times (a host name has at most 127 labels), because the JVM
-# matches a repeated group by recursion, and an endless one exhausts its stack.
+# Personal data, in the order in which the rules apply. Host names and
+# names of any length are matched by classes or possessive groups, which the JVM
+# matches in a loop; an endless ordinary group would exhaust its stack.
 PII_RULES = [
-    PiiRule("EMAIL", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){1,126}", needs="@"),
+    PiiRule("EMAIL", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+\.[A-Za-z0-9-][A-Za-z0-9.-]*", needs="@"),
     PiiRule(
         "SECRET",
         r'(?i:bearer [A-Za-z0-9._~+/-]+|token = "[0-9a-f]{40}")',
@@ -130,7 +130,7 @@ PII_RULES = [
         needs="(?i)bearer |token = ",
     ),
     PiiRule("URL", r'https?://[^ \t\n\r\f<>"]+', needs="https?://"),
-    PiiRule("DOMAIN", r"(?:[a-z0-9-]+\.){1,126}(?:com|org|net|site|io)", needs=r"\.(?:com|org|net|site|io)"),
+    PiiRule("DOMAIN", r"[a-z0-9-][a-z0-9.-]*\.(?:com|org|net|site|io)", needs=r"\.(?:com|org|net|site|io)"),
     PiiRule("IP", r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}"),
     PiiRule("IBAN", r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}"),
     PiiRule("CRYPTO", r"[13][A-HJ-NP-Za-km-z1-9]{25,34}"),
@@ -150,13 +150,27 @@ PII_RULES = [
     ),
     PiiRule(
         "PERSON",
-        r"[A-Z][a-z]+(?: [A-Z][a-z]+){0,19}",
+        r"[A-Z][a-z]+(?: [A-Z][a-z]+)*+",
         edges=False,
         lead="(?i:my name is )",
         needs="(?i)name is ",
     ),
 ]
 
+# Names that other tools give to these entities.
+PII_ALIASES = {
+    "EMAIL_ADDRESS": "EMAIL",
+    "PHONE_NUMBER": "PHONE",
+    "IP_ADDRESS": "IP",
+    "IBAN_CODE": "IBAN",
+    "US_SSN": "SSN",
+    "US_PASSPORT": "PASSPORT",
+    "US_DRIVER_LICENSE": "DRIVER_LICENSE",
+    "US_BANK_NUMBER": "BANK_ACCOUNT",
+    "DATE_TIME": "DATE",
+    "DOMAIN_NAME": "DOMAIN",
+}
+
 # Named groups of personal data.
 PII_GROUPS = {
     "pii": [rule.entity for rule in PII_RULES if rule.entity != "SECRET"] + ["LOCATION"],

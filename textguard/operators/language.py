@@ -88,7 +88,7 @@ def language(
 
 
 def language_same(prompt: Column, function_words: FunctionWords = FUNCTION_WORDS) -> Rule:
-    """Prompt and output in the same, known language."""
+    """Prompt and output in the same, known language; no verdict without a prompt."""
 
     def both(text: Column) -> Column:
         return F.struct(
@@ -98,8 +98,9 @@ def language_same(prompt: Column, function_words: FunctionWords = FUNCTION_WORDS
 
     return Rule(
         "language_same",
-        lambda langs: flag(
-            (langs["prompt"] != langs["output"]) | langs["prompt"].eqNullSafe(UNKNOWN)
+        lambda langs: F.when(
+            langs["prompt"].isNotNull(),
+            flag((langs["prompt"] != langs["output"]) | (langs["prompt"] == UNKNOWN)),
         ),
         measure=both,
         details={

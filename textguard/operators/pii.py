@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textguard.functions import text as tx
-from textguard.functions.wordlists import PII_GROUPS, PII_RULES, PiiRule
+from textguard.functions.wordlists import PII_ALIASES, PII_GROUPS, PII_RULES, PiiRule
 from textguard.operators.rule import Expression, Rule, flag
 
 CUSTOM = "CUSTOM"
@@ -24,9 +24,17 @@ Gazetteer = Mapping[str, Sequence[str]]
 def rules_for(entities: str | Sequence[str], gazetteer: Gazetteer | None = None) -> list[PiiRule]:
     """The rules of a named group or a list of entities, in their fixed order.
 
-    A gazetteer adds known values (places, names) of an entity as further rules.
+    A gazetteer adds known values (places, names) of an entity as further rules. A list
+    may use the aliases of other tools; an entity without a rule or a gazetteer raises, since
+    it would pass unseen.
     """
-    wanted = PII_GROUPS[entities] if isinstance(entities, str) else list(entities)
+    if isinstance(entities, str):
+        wanted = PII_GROUPS[entities]
+    else:
+        wanted = [PII_ALIASES.get(name, name) for name in entities]
+        missing = set(wanted) - {rule.entity for rule in PII_RULES} - set(gazetteer or {})
+        if missing:
+            raise ValueError(f"no rule or gazetteer for {sorted(missing)}")
     known = [
         PiiRule(name, tx.any_of(values), needs=tx.any_of(values))
         for name, values in (gazetteer or {}).items()

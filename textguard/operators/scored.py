@@ -153,10 +153,14 @@ def sentiment(
     positive: Sequence[str] = wl.POSITIVE,
     negative: Sequence[str] = wl.NEGATIVE,
 ) -> Rule:
-    """Valid while the balance is at least the threshold."""
+    """Valid while the balance is at least the threshold; the risk is what is missing, at most 1."""
 
     def risk(text: Column) -> Column:
-        return F.greatest(F.lit(0.0), F.lit(threshold) - compound(text, positive, negative))
+        def below(balance: Column) -> Column:
+            missing = F.least(F.lit(1.0), F.lit(threshold) - balance)
+            return F.when(balance >= threshold, 0.0).otherwise(F.greatest(F.lit(1e-6), missing))
+
+        return tx.bind(compound(text, positive, negative), below)
 
     return Rule("sentiment", risk, limit=0)
 
@@ -166,7 +170,9 @@ def financial_tone(
     positive: Sequence[str] = wl.POSITIVE,
     negative: Sequence[str] = wl.NEGATIVE,
 ) -> Rule:
-    """The tone must be the expected one, which may differ from row to row."""
+    """The tone must be the expected one, which may differ from row to row; no verdict
+    where none is expected."""
+    wanted = F.lit(expected) if isinstance(expected, str) else expected
 
     def tone(text: Column) -> Column:
         sign = F.signum(compound(text, positive, negative))
@@ -174,7 +180,10 @@ def financial_tone(
         return F.get(names, sign.cast("int") + 1)
 
     return Rule(
-        "financial_tone", lambda tone: flag(tone != expected), measure=tone, details={"tone": itself}
+        "financial_tone",
+        lambda tone: F.when(wanted.isNotNull(), flag(tone != wanted)),
+        measure=tone,
+        details={"tone": itself},
     )
 
 
