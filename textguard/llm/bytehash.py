@@ -44,9 +44,25 @@ def powers(base: np.uint64, count: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+class PowerTable:
+    """The powers of a base, grown on demand; pickled without the table."""
+
+    def __init__(self, base: np.uint64):
+        self.base, self.table = base, powers(base, 1)
+
+    def upto(self, count: int) -> np.ndarray:
+        if len(self.table) < count:
+            self.table = powers(self.base, count)
+        return self.table
+
+    def __reduce__(self):
+        return PowerTable, (self.base,)
+
+
 BYTE_VALUES = numbers(11, 256)
 BASE = np.uint64(0xD6E8FEB86659FD93)
-_powers = powers(BASE, 4096)
+FORWARD = PowerTable(BASE)
+BACKWARD = PowerTable(np.uint64(pow(int(BASE), -1, 1 << 64)))
 
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -78,7 +94,6 @@ def chunks(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, bounds): a hash for each word, lower-cased A-Z, and for each text the place
     of its first word; the words of text i are ``hashes[bounds[i]:bounds[i + 1]]``."""
-    global _powers
     solid = np.flatnonzero(~SPACES[data])
     if len(solid) == 0:
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
@@ -91,10 +106,8 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     head[firsts] = True
     starts = np.flatnonzero(head)
     lengths = np.diff(np.append(starts, len(solid)))
-    if lengths.max() > len(_powers):
-        _powers = powers(BASE, int(lengths.max()))
     within = np.arange(len(solid)) - np.repeat(starts, lengths)
-    values = BYTE_VALUES[LOWER[data[solid]]] * _powers[within]
+    values = BYTE_VALUES[LOWER[data[solid]]] * FORWARD.upto(int(lengths.max()))[within]
     hashes = mix(np.add.reduceat(values, starts) + lengths.astype(np.uint64))
     return hashes, np.searchsorted(solid[starts], offsets).astype(np.int64)
 
@@ -121,26 +134,18 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> list[np.nd
     return out
 
 
-_inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
-_forward = powers(BASE, 1)
-_backward = powers(_inverse, 1)
-
-
 class RollingHash:
     """Hashes of all substrings of a byte array, from one prefix sum modulo 2 ** 64."""
 
     def __init__(self, data: np.ndarray):
-        global _forward, _backward
-        if len(_forward) < len(data) + 1:
-            _forward = powers(BASE, len(data) + 1)
-            _backward = powers(_inverse, len(data) + 1)
         sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(BYTE_VALUES[data] * _forward[: len(data)], out=sums[1:])
+        np.cumsum(BYTE_VALUES[data] * FORWARD.upto(len(data) + 1)[: len(data)], out=sums[1:])
         self.sums = sums
+        self.back = BACKWARD.upto(len(data) + 1)
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """The hash of the bytes from each start to before each end."""
-        raw = (self.sums[ends] - self.sums[starts]) * _backward[starts]
+        raw = (self.sums[ends] - self.sums[starts]) * self.back[starts]
         return mix(raw + (ends - starts).astype(np.uint64))
 
     def all(self, size: int) -> np.ndarray:
@@ -148,7 +153,7 @@ class RollingHash:
         count = len(self.sums) - size
         if count <= 0:
             return np.zeros(0, np.uint64)
-        return mix((self.sums[size:] - self.sums[:count]) * _backward[:count] + np.uint64(size))
+        return mix((self.sums[size:] - self.sums[:count]) * self.back[:count] + np.uint64(size))
 
 
 def sliding_minimum(values: np.ndarray, size: int) -> np.ndarray:
