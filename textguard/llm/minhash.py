@@ -128,6 +128,98 @@ def _measure(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
     return stage(full.mapInArrow(_measurer(), "a long, b long, shared long, total long"), name)
 
 
+def _comparer() -> Callable[[Batches], Batches]:
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            tokens = [
+                np.setxor1d(
+                    np.frombuffer(left.as_buffer(), np.int64),
+                    np.frombuffer(right.as_buffer(), np.int64),
+                    assume_unique=True,
+                )
+                for left, right in zip(batch.column("left"), batch.column("right"), strict=True)
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("pivot"), batch.column("rep"), pa.array(tokens, pa.list_(pa.int64()))],
+                ["pivot", "rep", "tokens"],
+            )
+
+    return run
+
+
+def _differences(wide: DataFrame, sets: DataFrame) -> DataFrame:
+    """Per (pivot, rep) the shingles that only one of the two has, the rarest in the
+    pivot's group first, as ``tokens`` (an array of structs of ``df`` and ``token``)."""
+    lefts = sets.select(F.col("rep").alias("pivot"), F.col("members").alias("left"))
+    rights = sets.select("rep", F.col("members").alias("right"))
+    full = wide.select("pivot", "rep").join(lefts, "pivot").join(rights, "rep")
+    differ = stage(
+        full.mapInArrow(_comparer(), "pivot long, rep long, tokens array<long>"), "minhash-differ"
+    )
+    each = differ.select("pivot", "rep", F.explode("tokens").alias("token"))
+    often = each.groupBy("pivot", "token").agg(F.count(F.lit(1)).alias("df"))
+    ordered = each.join(often, ["pivot", "token"]).groupBy("pivot", "rep").agg(
+        F.sort_array(F.collect_set(F.struct("df", "token"))).alias("tokens")
+    )
+    return stage(ordered, "minhash-ordered")
+
+
+def _apart(wide: DataFrame, differences: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of one pivot's group and different labels that may be similar.
+
+    With d(X) the shingles in which X differs from the pivot, two sets differ in
+    |d(A)| + |d(B)| - 2 |d(A) & d(B)| shingles. So a similar pair must share a least number
+    of differences, which follows from four sizes; it is over 0, because two sets
+    that are similar without sharing any are both linked to the pivot and have one label.
+    With all differences in one order, the first that such a pair shares stands early enough in
+    both to leave room for the others. Those early ones are joined, and no similar pair is lost.
+
+    Of a pair with two labels one at least is not linked to the pivot. What its partner
+    joins ends at (|d| + c (n - pivot_n)) / 2, with c = (1 - s) / (1 + s) for a similarity s, since
+    the other's differences exceed c times its size and the pivot's. Differences that most of the
+    group share, which come last, are thus joined by few.
+    """
+    apart = F.lit(100 - percent) / F.lit(100 + percent)
+    size = F.size("tokens")
+    # |d| = n + pivot_n - 2 shared, so this is: shared / union < percent / 100.
+    outside = size * (100 + percent) > (F.col("n") + F.col("pivot_n")) * (100 - percent)
+    limit = F.floor((size + apart * (F.col("n") - F.col("pivot_n"))) / 2 + 1e-6)
+    longest = F.floor(F.col("n") * (100 - percent) / F.lit(percent) + 1e-6)
+    rows = wide.join(differences, ["pivot", "rep"]).select(
+        "pivot",
+        "rep",
+        "n",
+        "label",
+        size.alias("size"),
+        outside.alias("outside"),
+        F.least(limit, longest).alias("limit"),
+        F.posexplode(F.slice("tokens", 1, F.least(size, longest + 1).cast("int"))).alias("at", "entry"),
+    )
+    rows = rows.filter("entry.df > 1 AND (outside OR at <= limit)")
+    rows = stage(rows.withColumn("token", F.col("entry.token")).drop("entry"), "minhash-prefixes")
+
+    def side(mark: str, own: DataFrame) -> DataFrame:
+        names = ("rep", "n", "label", "size", "outside", "limit", "at")
+        return own.select("pivot", "token", *[F.col(c).alias(f"{mark}_{c}") for c in names])
+
+    both = F.col("l_n") + F.col("r_n")
+    least_shared = F.ceil(both * percent / F.lit(100 + percent) - 1e-6)
+    needed = (F.col("l_size") + F.col("r_size") - both) / 2 + least_shared
+    possible = (
+        (F.col("l_label") != F.col("r_label"))
+        & (~F.col("r_outside") | ((F.col("l_rep") < F.col("r_rep")) & (F.col("l_at") <= F.col("l_limit"))))
+        & (F.least("l_n", "r_n") * 100 >= F.greatest("l_n", "r_n") * percent)
+        & (F.col("l_at") <= F.col("l_size") - needed)
+        & (F.col("r_at") <= F.col("r_size") - needed)
+    )
+    pairs = side("l", rows.filter("outside")).join(
+        side("r", rows.filter("at <= limit")), ["pivot", "token"]
+    )
+    return pairs.filter(possible).select(
+        F.least("l_rep", "r_rep").alias("a"), F.greatest("l_rep", "r_rep").alias("b")
+    ).distinct()
+
+
 def _links(measured: DataFrame, percent: int) -> DataFrame:
     return measured.filter(F.col("shared") * 100 >= F.col("total") * percent).select("a", "b")
 
@@ -165,10 +257,9 @@ def near_duplicates(
     3. In buckets that still hold several components, each class is compared with the bucket's
        pivot, a class of the component with most members there: one comparison a member.
     4. In buckets that hold several components even then, pairs of classes from different
-       components are compared, unless it is proven that they are not similar: their set
-       sizes differ too much, or their distances from the pivot do (one less similarity is a
-       metric). A pair within one component could not change the
-       result, and no other candidate is left out.
+       components are compared if they share one of the rare shingles in which both differ
+       from the pivot; ``_apart`` says why no similar pair lacks one. A pair within one
+       component could not change the result.
 
     With 40 bands of 5 values a link at the limit of 0.8 is missed by all bands with a
     chance of 1.3e-7. Links are confirmed on the full sets of 64-bit shingle hashes.
@@ -254,31 +345,12 @@ def _groups(
     links = _links(known, percent)
     rows = _open_rows(members, links, "minhash-left")
 
-    most = max(1 - percent / 100, 0.01)
-    far = known.select("a", "b", (1 - F.col("shared") / F.col("total")).alias("far"))
-    rows = rows.join(broadcast_if_small(pivots), "bucket").withColumns(
-        {"a": F.least("pivot", "rep"), "b": F.greatest("pivot", "rep")}
-    )
-    placed = rows.join(far, ["a", "b"], "left").select(
-        "bucket", "rep", "n", "label", F.coalesce("far", F.lit(0.0)).alias("far")
-    )
-    cell = F.floor(F.col("far") / most)
-    left = placed.select(
-        "bucket", cell.alias("cell"), *[F.col(c).alias(f"l_{c}") for c in ("rep", "n", "label", "far")]
-    )
-    right = placed.select(
-        "bucket",
-        F.explode(F.array(cell - 1, cell, cell + 1)).alias("cell"),
-        *[F.col(c).alias(f"r_{c}") for c in ("rep", "n", "label", "far")],
-    )
-    possible = (
-        (F.col("l_rep") < F.col("r_rep"))
-        & (F.col("l_label") != F.col("r_label"))
-        & (F.least("l_n", "r_n") * 100 >= F.greatest("l_n", "r_n") * percent)
-        & (F.abs(F.col("l_far") - F.col("r_far")) <= most + 1e-9)
-    )
-    across = left.join(right, ["bucket", "cell"]).filter(possible)
-    across = across.select(F.col("l_rep").alias("a"), F.col("r_rep").alias("b")).distinct()
+    wide = rows.join(broadcast_if_small(pivots), "bucket").filter("rep != pivot")
+    wide = wide.select("pivot", "rep", "n", "label").distinct()
+    # One bucket's pivot may be another's member: its own size comes from the classes.
+    sizes = classes.select(F.col("rep").alias("pivot"), F.col("n").alias("pivot_n"))
+    wide = stage(wide.join(sizes, "pivot"), "minhash-wide")
+    across = _apart(wide, _differences(wide, sets), percent)
     rest = stage(across.join(known, ["a", "b"], "left_anti"), "minhash-rest")
     more = _links(_measure(rest, sets, "minhash-measured-rest"), percent)
     # Rows that share an id are one document, whatever their texts.
