@@ -204,6 +204,22 @@ def test_near_duplicates_against_brute_force(docs, size):
     assert sorted(i for i in ids if i is not None) == sorted(i for i in label if label[i] == i)
 
 
+def test_near_duplicates_just_below_the_limit(spark):
+    """Copies of one text with more and more words replaced: some are linked to the text, some
+    only to another copy, and many with none although they share a band with most."""
+    texts = {}
+    for i in range(160):
+        words = prose("base", 140).split()
+        for k in range(i % 16):
+            words[(i * 37 + k * k * 11) % 140 if k % 3 else (i // 32 * 29 + k * 7) % 140] = f"x{i // 2}k{k}"
+        texts[i] = " ".join(words)
+    label, sets = brute_components(texts, 2, 80)
+    assert 20 < len(set(label.values())) < 140
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows = minhash.near_duplicates(docs, shingle=2).collect()
+    assert {r["doc_id"]: r["component_id"] for r in rows} == label
+
+
 def test_repeated_substrings_against_brute_force(spark):
     alike = prose("alike", 40)
     texts = [alike, "x" + alike + "y", alike[:150] + "z" * 400, None, "", "é" * 300, alike]
