@@ -81,6 +81,17 @@ def test_overrides(spark):
     assert rows == {"user_name": "login", "userName": "login", "zip": "zip"}
 
 
+def test_several_overrides_for_one_name(spark):
+    df = spark.createDataFrame([("user_name", 0), ("userName", 0), ("zip", -1)], "key string, cluster_id long")
+    given_names = spark.createDataFrame(
+        [("cluster_0", "user"), ("cluster_0", "login"), ("cluster_0", None), ("zip", None)],
+        "name_key string, standard_key string",
+    )
+    names = key_names.cluster_names(df, given_names)
+    rows = sorted((row.key, row.standard_key) for row in key_names.standard_map(df, names).collect())
+    assert rows == [("userName", "login"), ("user_name", "login"), ("zip", "zip")]
+
+
 def test_long_groups_come_in_parts(spark):
     df = spark.createDataFrame([(f"k{i}", "name") for i in range(50)], "key string, standard_key string")
     parts = key_names.grouped_map(df, size=10).collect()

@@ -40,7 +40,7 @@ def _named(clusters: DataFrame) -> DataFrame:
 
 def cluster_names(clusters: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
     """(name_id, name_key, cluster_id, n_keys, standard_key), where a given name
-    replaces the derived one."""
+    replaces the derived one; of several given for one name the smallest counts."""
     names = (
         _named(clusters)
         .groupBy("name_id", "name_key", "cluster_id")
@@ -48,7 +48,7 @@ def cluster_names(clusters: DataFrame, overrides: DataFrame | None = None) -> Da
     )
     if overrides is None:
         return names
-    given = overrides.select("name_key", F.col("standard_key").alias("given"))
+    given = overrides.groupBy("name_key").agg(F.min("standard_key").alias("given"))
     return names.join(given, "name_key", "left").withColumn(
         "standard_key", F.coalesce("given", "standard_key")
     ).drop("given")
