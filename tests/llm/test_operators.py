@@ -307,6 +307,31 @@ def test_toxicity_held_out_accuracy(spark):
     assert right > 0.97
 
 
+@pytest.mark.parametrize("sample", [1000, 100])
+def test_toxicity_learns_rare_terms(spark, monkeypatch, sample):
+    """Terms in less than one of a hundred toxic texts, seldom or never in the sample, and in no
+    clean text: held-out texts with nothing else to tell them are found."""
+    monkeypatch.setattr(toxicity, "SAMPLE", sample)
+    rare = [hashlib.md5(f"rare:{k}".encode()).hexdigest()[:9] for k in range(65)]
+    rows = []
+    for i in range(6000):
+        words = [f"w{hashlib.md5(f'{i}:{k}'.encode()).hexdigest()[:2]}" for k in range(30)]
+        toxic = int(i % 4 == 0)
+        if toxic:
+            words[i % 30] = "vile" if i % 8 else rare[i // 8 % 65]
+        rows.append((i, " ".join(words), toxic))
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    labels = table.select("doc_id", "toxic")
+    scored = toxicity.score(table, toxicity.train(table, labels)).join(labels, "doc_id")
+    held = scored.filter("held_out").withColumn("rare", F.col("doc_id") % 8 == 0)
+    found = {(r["toxic"], r["rare"]): r["p"] for r in held.groupBy("toxic", "rare").agg(F.avg("predicted").alias("p")).collect()}
+    assert found[1, True] > 0.9 and found[1, False] > 0.9
+    assert found[0, False] < 0.02
+    spans = held.filter("rare and predicted = 1").select("doc_id", F.explode("spans").alias("s")).collect()
+    bodies = {i: text for i, text, _ in rows}
+    assert all(bodies[r["doc_id"]][r["s"]["start"] : r["s"]["end"]] in rare for r in spans)
+
+
 def test_toxicity_odd_rows(spark, docs, nothing):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     model = toxicity.train(nothing, labels)

@@ -17,8 +17,12 @@ from textguard.session import broadcast_if_small, stage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# A feature is learned from if this share of the toxic texts, and this many, hold it.
-SHARE, LEAST = 0.01, 4
+# A feature is a candidate if so many toxic texts hold it, at any size of the corpus.
+LEAST = 4
+# Bits of the sieve that spares the clean texts' other features the shuffle.
+SIEVE = 1 << 23
+# A feature in fewer toxic texts of the sample than this is also weighed by its counts over all texts.
+FEW = 8
 # Added to twice the logarithm of the number of candidates, the least gain of a feature.
 CHANCE = 6.0
 # Tokens with a feature of such odds ratio (as a logarithm) are the labelled toxic tokens.
@@ -32,11 +36,13 @@ Batches = Iterator[pa.RecordBatch]
 @dataclass
 class Field:
     """The fitted model: sorted feature hashes, their weights for the state "toxic",
-    transitions between (other, toxic), the score of a token without features, and
-    the document score's intercept, slope for the largest and for the summed marginal."""
+    the least that a token with such a feature weighs, transitions between
+    (other, toxic), the score of a token without features, and the document score's
+    intercept, slope for the largest and for the summed marginal."""
 
     features: np.ndarray
     weights: np.ndarray
+    floors: np.ndarray
     moves: np.ndarray
     plain: float
     scale: tuple[float, float, float]
@@ -65,9 +71,9 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 5 == 0
 
 
-def _counter(only: np.ndarray | None) -> Callable[[Batches], Batches]:
-    """Per batch and feature the number of texts that hold it; ``only`` limits the features."""
-    lookup = None if only is None else Lookup(only)
+def _counter(sieve: np.ndarray | None) -> Callable[[Batches], Batches]:
+    """Per batch and feature the number of texts that hold it; a ``sieve`` drops features
+    that are no candidates, and lets a few of them pass."""
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
@@ -80,11 +86,11 @@ def _counter(only: np.ndarray | None) -> Callable[[Batches], Batches]:
                 )
                 owner = np.repeat(np.arange(low, high, dtype=np.uint64), np.diff(bounds))
                 for hashes in columns:
-                    rows, full = owner, hashes != 0
-                    if lookup is not None:
-                        places, _ = lookup.find(hashes)
-                        full = np.zeros(len(hashes), bool)
-                        full[places] = True
+                    full = hashes != 0
+                    if sieve is not None:
+                        bits = hashes & np.uint64(SIEVE - 1)
+                        words = sieve[(bits >> np.uint64(6)).astype(np.int64)]
+                        full &= (words >> (bits & np.uint64(63))) & np.uint64(1) == 1
                     picked, rows = hashes[full], owner[full]
                     _, once = np.unique(mix(picked + mix(rows + np.uint64(1))), return_index=True)
                     seen.append(picked[once])
@@ -99,11 +105,63 @@ def _counter(only: np.ndarray | None) -> Callable[[Batches], Batches]:
     return run
 
 
-def _count_features(texts: DataFrame, only: np.ndarray | None = None) -> DataFrame:
-    counted = texts.select("text").mapInArrow(_counter(only), "feature long, n long")
+def _count_features(texts: DataFrame, sieve: np.ndarray | None = None) -> DataFrame:
+    counted = texts.select("text").mapInArrow(_counter(sieve), "feature long, n long")
     return counted.groupBy("feature").agg(F.sum("n").alias("n"))
 
 
+def _sieve(candidates: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size of the candidates' low bits, made in Spark, as 64-bit words."""
+    bit = F.col("feature").bitwiseAND(SIEVE - 1)
+    one = F.expr(f"shiftleft(1L, cast((feature & {SIEVE - 1}) & 63 as int))")
+    words = candidates.groupBy(F.shiftright(bit, 6).alias("word")).agg(F.bit_or(one).alias("bits"))
+    found = words.toArrow()
+    out = np.zeros(SIEVE // 64, np.int64)
+    out[found["word"].to_numpy()] = found["bits"].to_numpy()
+    return out.view(np.uint64)
+
+
+def _telling(toxic: DataFrame, clean: DataFrame, n_toxic: int, n_clean: int) -> tuple[np.ndarray, np.ndarray]:
+    """(features, log odds) of all features that LEAST toxic texts hold, that have log odds of
+    1 or more, and whose frequency ratio is no accident among so many candidates. Counts are
+    joined and tested in Spark; only those that pass come to the driver."""
+    candidates = _count_features(toxic).filter(F.col("n") >= LEAST)
+    candidates = stage(candidates.withColumnRenamed("n", "a"), "toxicity-candidates")
+    number = candidates.count()
+    if number == 0:
+        return np.zeros(0, np.uint64), np.zeros(0)
+    others = _count_features(clean, _sieve(candidates)).withColumnRenamed("n", "b")
+    a, b = F.col("a").cast("double"), F.coalesce(F.col("b"), F.lit(0)).cast("double")
+    odds = F.log((a + 0.5) / (n_toxic - a + 0.5)) - F.log((b + 0.5) / (n_clean - b + 0.5))
+    seen, share = a + b, n_toxic / max(1, n_toxic + n_clean)
+
+    def part(count: Column, expected: Column) -> Column:
+        return count * F.log(F.greatest(count, F.lit(1e-9)) / F.greatest(expected, F.lit(1e-9)))
+
+    gain = 2 * (part(a, seen * share) + part(b, seen * (1 - share)))
+    passed = (
+        candidates.join(others, "feature", "left")
+        .select("feature", odds.alias("odds"), gain.alias("gain"))
+        .filter((F.col("odds") >= 1.0) & (F.col("gain") >= 2 * float(np.log(number)) + CHANCE))
+        .select("feature", "odds")
+        .toArrow()
+    )
+    features = passed["feature"].to_numpy().view(np.uint64)
+    order = np.argsort(features)
+    return features[order], passed["odds"].to_numpy()[order]
+
+
+def _supports(rows: list[tuple[str, int]], lookup: Lookup) -> np.ndarray:
+    """In how many of the sampled toxic texts each feature is."""
+    out = np.zeros(len(lookup.features), np.int64)
+    for text, toxic in rows:
+        if toxic:
+            body = np.frombuffer(text.encode(), np.uint8)
+            columns, _, _, _ = token_features(body, np.array([0, len(body)]))
+            out[np.unique(np.concatenate([lookup.find(hashes)[1] for hashes in columns]))] += 1
+    return out
+
+
 def _segments(
     rows: list[tuple[str, int]], lookup: Lookup, marks: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -281,12 +339,14 @@ def _measures(
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, tuple[np.ndarray, ...]]:
     """Per text the largest and the summed marginal; and (row, start, end, chance) of tokens."""
     columns, bounds, starts, stops = token_features(data, offsets)
-    scores = np.full(len(starts), model.plain)
+    weights, floors = np.zeros(len(starts)), np.full(len(starts), -np.inf)
     informed = np.zeros(len(starts), bool)
     for hashes in columns:
         places, numbers = lookup.find(hashes)
-        scores[places] += model.weights[numbers]
+        weights[places] += model.weights[numbers]
+        floors[places] = np.maximum(floors[places], model.floors[numbers])
         informed[places] = True
+    scores = model.plain + np.maximum(weights, floors)
     tokens = np.flatnonzero(informed)
     ranges = np.searchsorted(tokens, bounds)
     owner = np.repeat(np.arange(len(offsets) - 1), np.diff(ranges))
@@ -328,13 +388,14 @@ def train(
     """Fit the field on labelled texts, leaving the held-out fifth alone.
 
     1. Over all labelled texts, counts of the texts of either label that hold a feature (a
-       token, or its first 3 to 6 bytes). Features in SHARE of the toxic texts take part:
-       a toxic text adds at most its own tokens, so their number is bounded by the mean
-       size of a text over SHARE, at any size of the corpus. What they say is counted over
-       all texts.
+       token, or its first 3 to 6 bytes), joined in Spark. Features in LEAST toxic texts
+       take part, however many texts there are, if they tell toxic from clean texts.
     2. Tokens of toxic texts with a feature of log odds of TOXIC_ODDS or more are
        the labelled toxic tokens. The field is fitted on SAMPLE texts of each label, by hash
-       of the id, and so is the scale of document scores. This sample is the only bound.
+       of the id, and so is the scale of document scores.
+    3. The sample holds rarer features seldom or never. A feature of TOXIC_ODDS or more that
+       fewer than FEW of its toxic texts hold makes a token weigh at least so much that, alone
+       among other tokens, its log odds are those counted over all texts.
     """
     known = labels.select(F.col(doc_id).alias("__id"), F.col(label).cast("int").alias("__y"))
     known = known.filter(F.col("__id").isNotNull() & F.col("__y").isNotNull() & ~held_out(F.col("__id")))
@@ -344,23 +405,7 @@ def train(
     toxic, clean = rows.filter("__y = 1"), rows.filter("__y = 0")
     n_docs = {row["__y"]: row["n"] for row in rows.groupBy("__y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_toxic, n_clean = n_docs.get(1, 0), n_docs.get(0, 0)
-    least = max(LEAST, int(SHARE * n_toxic))
-    frequent = _count_features(toxic).filter(F.col("n") >= least).collect()
-    inside = {row["feature"]: row["n"] for row in frequent}
-    features = np.sort(np.array(list(inside), np.int64).view(np.uint64))
-    outside = {row["feature"]: row["n"] for row in _count_features(clean, features).collect()}
-    names = features.view(np.int64).tolist()
-    a = np.array([inside[name] for name in names], float)
-    b = np.array([outside.get(name, 0) for name in names], float)
-    odds = np.log((a + 0.5) / (n_toxic - a + 0.5)) - np.log((b + 0.5) / (n_clean - b + 0.5))
-    # A frequency ratio must also be no accident among so many candidates.
-    seen, share = a + b, n_toxic / max(1, n_toxic + n_clean)
-    gain = 2 * (
-        a * np.log(np.maximum(a, 1e-9) / np.maximum(seen * share, 1e-9))
-        + b * np.log(np.maximum(b, 1e-9) / np.maximum(seen * (1 - share), 1e-9))
-    )
-    telling = (odds >= 1.0) & (gain >= 2 * np.log(max(1, len(features))) + CHANCE)
-    features, odds = features[telling], odds[telling]
+    features, odds = _telling(toxic, clean, n_toxic, n_clean)
     lookup = Lookup(features)
 
     def sample(part: DataFrame) -> list[tuple[str, int]]:
@@ -372,7 +417,9 @@ def train(
     weights, moves, plain = _fit(
         *_segments(rows_sampled, lookup, odds >= TOXIC_ODDS), len(features)
     )
-    model = Field(features, weights, moves, plain, (0.0, 0.0, 0.0))
+    rare = (odds >= TOXIC_ODDS) & (_supports(rows_sampled, lookup) < FEW)
+    floors = np.where(rare, odds - plain - moves[0, 1], -np.inf)
+    model = Field(features, weights, floors, moves, plain, (0.0, 0.0, 0.0))
     bodies = [text.encode() for text, _ in rows_sampled]
     joined = np.frombuffer(b"".join(bodies), np.uint8)
     offsets = np.concatenate([[0], np.cumsum([len(body) for body in bodies])]).astype(np.int64)
