@@ -3,6 +3,7 @@
 import hashlib
 import re
 
+import compare
 import pytest
 from pyspark.sql import functions as F
 
@@ -19,6 +20,7 @@ from textguard.llm import (
     warc,
     winnow,
 )
+from textguard.llm import queries as llm_queries
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, size string, label string"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -297,6 +299,42 @@ def test_preferences(spark):
     assert pair["rejected"] == "<|assistant|>\n<|end|>\n"
 
 
+def test_branches_share_a_prefix(spark):
+    rows = [
+        (7, 0, "user", "a"), (7, 1, "assistant", "b"), (7, 2, "user", "c"), (7, 3, "assistant", "d"), (7, 4, "user", "e"),
+        (-3, 0, "user", "f"), (-3, 1, "assistant", "g"), (9, 0, "system", "s"), (9, 2, "assistant", None),
+        (12, 0, "user", "no answer"), (None, 0, "assistant", "lost"), (9, None, "assistant", "lost"),
+    ]
+    conversations = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    branched = preferences.branch(conversations)
+    made = preferences.format_preferences(branched, preferences.pair_neighbours(branched))
+    whole = {r["pair_id"]: r for r in preferences.assemble(made).collect()}
+
+    def shown(*turns):
+        return "".join(f"<|{role}|>\n{text}<|end|>\n" for role, text in turns)
+
+    a, b, c, e = ("user", "a"), ("assistant", "b"), ("user", "c"), ("user", "e")
+    d, f, g, s, none = ("assistant", "d"), ("user", "f"), ("assistant", "g"), ("system", "s"), ("assistant", "")
+    assert {i: (r["prompt"], r["chosen"], r["rejected"]) for i, r in whole.items()} == {
+        -3: (shown(f), shown(g), shown(d)),
+        7: (shown(a, b, c), shown(d, e), shown(none)),
+        9: (shown(s), shown(none), shown(g)),
+    }
+    start, end = whole[7]["chosen_masks"][0]
+    assert whole[7]["chosen"][start:end] == "d<|end|>" and len(whole[7]["chosen_masks"]) == 1
+    assert preferences.branch(conversations.filter("conv_id = 7")).count() == 0
+
+
+def test_every_answered_conversation_has_a_prompt(spark):
+    """In the given tables neighbours share no turn: only branches have prompts to be searched for."""
+    folder = "/root/testdata/sf0.01"
+    made = llm_queries.QUERIES["op6_preference_branches"](spark, folder).cache()
+    answered = spark.read.parquet(f"{folder}/conversations.parquet").filter("role = 'assistant' and turn > 0")
+    prompts = made.filter("section = 'prompt'").select("pair_id").distinct().count()
+    assert prompts == answered.select("conv_id").distinct().count() > 0
+    assert compare.difference(made, compare.connect(folder), llm_queries.ORACLES["op6_preference_branches"]) == ""
+
+
 def test_toxicity_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.1"
     docs = spark.read.parquet(f"{folder}/documents.parquet")

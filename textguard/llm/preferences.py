@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textguard.plans.skew import number_rows
 from textguard.session import broadcast_if_small, stage
 
 TRAINED = ("assistant",)
@@ -29,6 +30,53 @@ def pair_neighbours(conversations: DataFrame, conv_id: str = "conv_id") -> DataF
     )
 
 
+def branch(
+    conversations: DataFrame,
+    conv_id: str = "conv_id",
+    turn: str = "turn",
+    role: str = "role",
+    text: str = "text",
+    answering: str = "assistant",
+) -> DataFrame:
+    """(conv_id, turn, role, text): each conversation c with an answer twice, so that
+    ``pair_neighbours`` pairs both under the pair_id c. 2c is c as it is; 2c + 1 is c up to
+    its last answer, which the last answer of the next conversation with one (the first
+    follows on the last) replaces. Both share the turns before that answer.
+
+    Answers are turns of the role ``answering``. Defined cases: all answers of one turn
+    number count as that answer; rows with NULL turn or conversation are dropped;
+    conversations without answers, or with the only one there is, have no pair; two answers
+    alike are a pair all the same, whose completions differ by the turns that follow.
+    """
+    turns = conversations.select(
+        F.col(conv_id).cast("long").alias("conv"),
+        F.col(turn).cast("long").alias("turn"),
+        F.col(role).alias("role"),
+        F.col(text).alias("text"),
+    ).filter(F.col("conv").isNotNull() & F.col("turn").isNotNull())
+    answer = F.col("role") == answering
+    last = turns.filter(answer).groupBy("conv").agg(F.max("turn").alias("at"))
+    numbered = stage(number_rows(last, "conv", "n"), "preference-answers")
+    count = numbered.count()
+    if count < 2:
+        numbered = numbered.limit(0)
+    follows = F.pmod(F.col("n") + 1, F.lit(max(count, 1)))
+    givers = numbered.select(F.col("n").alias("__next"), F.col("conv").alias("giver"), F.col("at").alias("given"))
+    branches = numbered.withColumn("__next", follows).join(givers, "__next").select("conv", "at", "giver", "given")
+    branches = broadcast_if_small(stage(branches, "preference-branches"))
+    own = turns.join(branches, "conv")
+    whole, cut = 2 * F.col("conv"), 2 * F.col("conv") + 1
+    sides = F.when(F.col("turn") < F.col("at"), F.array(whole, cut)).otherwise(F.array(whole))
+    kept = own.select(F.explode(sides).alias("conv_id"), "turn", "role", "text")
+    other = (
+        turns.filter(answer)
+        .withColumnsRenamed({"conv": "giver", "turn": "given"})
+        .join(branches, ["giver", "given"])
+        .select(cut.alias("conv_id"), F.col("at").alias("turn"), "role", "text")
+    )
+    return kept.unionByName(other)
+
+
 def format_preferences(
     conversations: DataFrame,
     pairs: DataFrame,

@@ -232,6 +232,33 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preferences.format_preferences(conversations, preferences.pair_neighbours(conversations))
 
 
+BRANCH_SQL = (
+    """
+WITH turns AS (
+  SELECT conv_id AS conv, turn::BIGINT AS turn, role, text FROM conversations
+  WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+answers AS (SELECT conv, max(turn) AS place FROM turns WHERE role = 'assistant' GROUP BY conv),
+following AS (
+  SELECT *, coalesce(lead(conv) OVER (ORDER BY conv), min(conv) OVER ()) AS giver FROM answers),
+branches AS (
+  SELECT f.conv, f.place, f.giver, a.place AS given FROM following f JOIN answers a ON a.conv = f.giver
+  WHERE f.conv <> f.giver),
+branched AS (
+  SELECT 2 * conv AS conv_id, turn, role, text FROM turns JOIN branches USING (conv)
+  UNION ALL SELECT 2 * conv + 1, turn, role, text FROM turns JOIN branches USING (conv) WHERE turn < place
+  UNION ALL SELECT 2 * b.conv + 1, b.place, t.role, t.text
+  FROM branches b JOIN turns t ON t.conv = b.giver AND t.turn = b.given WHERE t.role = 'assistant'),
+"""
+    + PREFERENCE_SQL.strip().removeprefix("WITH ").replace("FROM conversations", "FROM branched")
+)
+
+
+@query("op6_preference_branches", BRANCH_SQL)
+def op6_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    branched = preferences.branch(table(spark, sf_dir, "conversations"))
+    return preferences.format_preferences(branched, preferences.pair_neighbours(branched))
+
+
 def _plain_words(text: str) -> str:
     return (
         f"regexp_extract_all(translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
