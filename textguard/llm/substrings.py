@@ -1,4 +1,4 @@
-"""Removing repeated substrings: bucket-pointer refinement over sampled suffixes."""
+"""Removing repeated substrings: winnowed fingerprints, then hashes of the full length."""
 
 from __future__ import annotations
 
@@ -221,15 +221,17 @@ def remove_repeats(
 ) -> DataFrame:
     """Remove each byte in a substring of ``length`` bytes that also starts earlier.
 
-    Suffixes are sorted only as deep as ``length`` and only where buckets are still shared:
+    Winnowed fingerprints and hashes of the full length take the place of bucket pointers
+    that are sorted on the bucket identifiers of later offsets:
 
     1. Initial buckets: each substring of ``length`` bytes is put in the bucket of its
        smallest gram of ``gram`` bytes. Runs of neighbours in one bucket are one entry, about
        one for 28 bytes. Buckets with one entry are final and drop out.
-    2. Refinement by later offsets: entries are sorted on the bucket of all bytes they
-       cover. In an entry equal to an earlier one all substrings are repeats.
-    3. Recursion: where a bucket still holds different entries, the first of each falls
-       into its substrings, refined to the full length; those equal to an earlier one are repeats.
+    2. Whole runs: entries are grouped by a hash of all bytes they cover. In an entry
+       equal to an earlier one all substrings are repeats.
+    3. Windows: where a bucket still holds different entries, the first of each falls into
+       its substrings of ``length`` bytes, grouped by a hash of their own; those equal
+       to an earlier one are repeats.
 
     Within a document the earlier occurrence is found in its row, across documents by the
     smallest id of a bucket, with partial aggregation; frequent buckets meet their
