@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from textguard.session import stage
+
 BLANKS = r"[\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -84,3 +86,21 @@ def same_row(left: DataFrame, right: DataFrame, keys: Sequence[str] = (ROW_ID, R
 def number_hash(*parts: Column, digits: int = 12) -> Column:
     """A number of 4 * digits bits from the MD5 of the parts, so that SQL engines agree."""
     return F.conv(F.substring(F.md5(F.concat(*parts)), 1, digits), 16, 10).cast("long")
+
+
+def numbered(df: DataFrame, order: Sequence[Column], out: str) -> DataFrame:
+    """Add 0, 1, 2, ... by the order: rows are range partitioned, staged with their place
+    within the partition, and moved on by the sizes of the partitions before."""
+    key = F.struct(*[column.alias(f"k{at}") for at, column in enumerate(order)])
+    ranged = df.withColumn("__order", key).repartitionByRange("__order").sortWithinPartitions("__order")
+    placed = stage(ranged.drop("__order").withColumn("__at", F.monotonically_increasing_id()), "numbered")
+    part = F.shiftright("__at", 33)
+    sizes = placed.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
+    return (
+        placed.withColumn("__part", part)
+        .join(F.broadcast(offsets), "__part")
+        .withColumn(out, F.col("__offset") + F.col("__at").bitwiseAND((1 << 33) - 1))
+        .drop("__part", "__offset", "__at")
+    )

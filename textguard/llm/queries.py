@@ -12,6 +12,7 @@ from textguard.llm import (
     mixing,
     preferences,
     quality,
+    resampling,
     secrets,
     sharding,
     substrings,
@@ -355,3 +356,62 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
+def _crc_sql(keys: str) -> str:
+    """Tables that give ``crc`` (key, value): CRC-32 of the UTF-8 bytes of each key, byte by byte."""
+    step = "CASE WHEN {v} % 2 = 1 THEN xor({v} // 2, 3988292384::BIGINT) ELSE {v} // 2 END AS {v}"
+    rounds = "SELECT b, b AS v FROM (SELECT unnest(range(256)) AS b)"
+    for _ in range(8):
+        rounds = f"SELECT b, {step.format(v='v')} FROM ({rounds})"
+    return f"""
+crc_bytes AS MATERIALIZED ({rounds}),
+crc_keys AS MATERIALIZED (SELECT DISTINCT k, hex(encode(k)) AS x FROM ({keys})),
+crc_steps(k, x, p, v) AS (
+  SELECT k, x, 0, 4294967295::BIGINT FROM crc_keys
+  UNION ALL
+  SELECT k, x, p + 1, xor(s.v // 256, b.v) FROM crc_steps s JOIN crc_bytes b
+    ON b.b = xor(s.v % 256, ('0x' || substr(x, 2 * p + 1, 2))::BIGINT) WHERE 2 * p < length(x)),
+crc AS MATERIALIZED (
+  SELECT k, xor(v, 4294967295::BIGINT) AS value FROM crc_steps WHERE 2 * p = length(x))"""
+
+
+RESAMPLE_SQL = f"""
+WITH RECURSIVE texts AS (
+  SELECT true AS mine, row_number() OVER () AS r, doc_id, {_plain_words("text")} AS ws FROM documents
+  UNION ALL SELECT false, row_number() OVER (), NULL, {_plain_words("text")} FROM benchmark),
+features AS MATERIALIZED (
+  SELECT mine, r, unnest(list_concat(ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])))
+    AS k FROM texts),
+{_crc_sql("SELECT k FROM features")},
+placed AS MATERIALIZED (
+  SELECT mine, r, value % {resampling.BUCKETS} AS bucket, count(*) AS n
+  FROM features JOIN crc USING (k) GROUP BY ALL),
+buckets AS (
+  SELECT bucket, coalesce(sum(n) FILTER (mine), 0)::DOUBLE AS s,
+    coalesce(sum(n) FILTER (NOT mine), 0)::DOUBLE AS t FROM placed GROUP BY bucket),
+gains AS (
+  SELECT bucket, floor(1000 * ln((t + 1) * (sum(s) OVER () + {resampling.BUCKETS})
+    / ((s + 1) * (sum(t) OVER () + {resampling.BUCKETS}))))::BIGINT AS gain FROM buckets),
+weights AS (
+  SELECT r, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS total
+  FROM placed JOIN gains USING (bucket) WHERE mine GROUP BY r),
+scored AS (
+  SELECT doc_id, len(ws) AS n_words, coalesce(n_features, 0)::BIGINT AS n_features,
+    coalesce(floor(total / n_features), 0)::BIGINT AS weight,
+    ('0x' || substr(sha256('7:' || coalesce(doc_id::VARCHAR, 'null')), 1, 8))::BIGINT::DOUBLE AS h
+  FROM texts LEFT JOIN weights USING (r) WHERE mine),
+noisy AS (
+  SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5) / 4294967296)))::BIGINT AS score FROM scored),
+drawn AS (
+  SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id, weight, n_features)
+    AS place, 25 * count(*) OVER (PARTITION BY n_words >= 20) // 100 AS most FROM noisy)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN n_words >= 20 AND place <= most THEN place END::BIGINT AS rank FROM drawn
+"""
+
+
+@query("op11_importance_resampling", RESAMPLE_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return resampling.resample(docs, table(spark, sf_dir, "benchmark"))
