@@ -12,6 +12,7 @@ from textguard.llm import (
     mixing,
     preferences,
     quality,
+    repair,
     resampling,
     secrets,
     sharding,
@@ -415,3 +416,78 @@ SELECT doc_id, n_features, weight, score,
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return resampling.resample(docs, table(spark, sf_dir, "benchmark"))
+
+
+def _edit(entry: str, cost: str, letter: str) -> str:
+    """An entry of nine digits of cost and then an audit, after one more edit; NULL stays NULL."""
+    return f"(lpad((substr({entry}, 1, 9)::BIGINT + {cost})::VARCHAR, 9, '0') || substr({entry}, 10) || '{letter}')"
+
+
+_CLOSED = f"""
+  SELECT *, least(ca, {_edit("eu", "2", "I")}) AS ea FROM (
+    SELECT *, least(cu, {_edit("c0", "2", "I")}, {_edit("cs", "2", "I")}, {_edit("ca", "2", "I")}) AS eu
+    FROM steps)"""
+REPAIR_SQL = rf"""
+WITH RECURSIVE base AS (
+  SELECT conv_id, dense_rank() OVER (ORDER BY conv_id) AS c, turn, coalesce(role, ' ') AS role,
+    coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k
+  FROM conversations),
+{_crc_sql("SELECT k FROM base")},
+coded AS (SELECT base.*, value % 20 AS code FROM base JOIN crc USING (k)),
+damaged AS (
+  SELECT conv_id, c, turn, CASE code WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE code WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE code WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM coded),
+placed AS (
+  SELECT *, substr(role, 1, 1) AS i,
+    row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, md5(text), copy) AS p,
+    row_number() OVER (PARTITION BY c, role, text ORDER BY turn NULLS FIRST, copy) AS nth FROM damaged),
+faults AS MATERIALIZED (
+  SELECT *, fault IN ('none', 'truncated') AS stays, (fault = 'truncated')::BIGINT AS more,
+    lag(i) OVER (PARTITION BY c ORDER BY p) AS before FROM (
+    SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank'
+      WHEN nth > 1 THEN 'duplicate'
+      WHEN NOT regexp_matches(text, '[.!?][ 	-]*\z') THEN 'truncated' ELSE 'none' END AS fault
+    FROM placed)),
+counts AS (
+  SELECT c, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || i NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faults GROUP BY c),
+steps(c, p, c0, cs, cu, ca) AS (
+  SELECT c, 0::BIGINT, '000000000', NULL::VARCHAR, NULL::VARCHAR, NULL::VARCHAR FROM counts
+  UNION ALL
+  SELECT e.c, f.p, {_edit("c0", "3", "D")},
+    least({_edit("cs", "3", "D")}, CASE WHEN stays AND i = 's' THEN {_edit("c0", "more", "K")} END),
+    least({_edit("eu", "3", "D")}, CASE WHEN stays THEN {_edit("least(c0, cs, ea)", "2 + more", "R")} END,
+      CASE WHEN stays AND i = 'u' THEN {_edit("least(c0, cs, ea)", "more", "K")} END),
+    least({_edit("ea", "3", "D")}, CASE WHEN stays THEN {_edit("eu", "2 + more", "R")} END,
+      CASE WHEN stays AND i = 'a' THEN {_edit("eu", "more", "K")} END)
+  FROM ({_CLOSED}) e JOIN faults f ON f.c = e.c AND f.p = e.p + 1),
+best AS MATERIALIZED (
+  SELECT c, substr(entry, 1, 9)::BIGINT AS cost, substr(entry, 10) AS audit FROM (
+    SELECT e.c, least(c0, ea) AS entry FROM ({_CLOSED}) e JOIN counts n ON n.c = e.c AND n.n = e.p)),
+walk(c, audit, at_, p, state, body) AS (
+  SELECT c, audit, 1::BIGINT, 0::BIGINT, '0', NULL::VARCHAR FROM best
+  UNION ALL
+  SELECT c, audit, at_ + 1, p, CASE edit WHEN 'D' THEN state WHEN 'K' THEN i ELSE substr(needed, 1, 1) END,
+    CASE WHEN edit = 'D' THEN body ELSE coalesce(body || chr(10), '')
+      || CASE edit WHEN 'K' THEN role ELSE needed END || ':' || CASE edit WHEN 'I' THEN '' ELSE text END END
+  FROM (
+    SELECT w.c, audit, at_, state, body, substr(audit, at_, 1) AS edit, f.i, f.role, f.text,
+      CASE state WHEN 'u' THEN 'assistant' ELSE 'user' END AS needed,
+      w.p + (substr(audit, at_, 1) <> 'I')::BIGINT AS p
+    FROM walk w LEFT JOIN faults f ON f.c = w.c AND f.p = w.p + 1 WHERE at_ <= length(audit))),
+repaired AS (SELECT c, cost, audit, body FROM walk JOIN best USING (c, audit) WHERE at_ > length(audit))
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+  coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost, coalesce(audit, '') AS audit,
+  sha256(coalesce(body, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, c FROM base) LEFT JOIN counts USING (c) LEFT JOIN repaired USING (c)
+"""
+
+
+@query("op13_conversation_repair", REPAIR_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(repair.damage(table(spark, sf_dir, "conversations")), copies="copies")
