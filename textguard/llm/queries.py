@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textguard.llm import (
+    extraction,
     minhash,
     mixing,
     preferences,
@@ -445,9 +446,11 @@ placed AS (
 faults AS MATERIALIZED (
   SELECT *, fault IN ('none', 'truncated') AS stays, (fault = 'truncated')::BIGINT AS more,
     lag(i) OVER (PARTITION BY c ORDER BY p) AS before FROM (
-    SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank'
+    SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank'
       WHEN nth > 1 THEN 'duplicate'
-      WHEN NOT regexp_matches(text, '[.!?][ 	-]*\z') THEN 'truncated' ELSE 'none' END AS fault
+      WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*\z') THEN 'truncated' ELSE 'none' END AS fault
     FROM placed)),
 counts AS (
   SELECT c, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
@@ -491,3 +494,30 @@ FROM (SELECT DISTINCT conv_id, c FROM base) LEFT JOIN counts USING (c) LEFT JOIN
 @query("op13_conversation_repair", REPAIR_SQL)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair(repair.damage(table(spark, sf_dir, "conversations")), copies="copies")
+
+
+def _decoded(text: str) -> str:
+    """The character references that the pages' articles hold; the ampersand comes last."""
+    for pattern, sign in (("&quot;?", '"'), ("&lt;?", "<"), ("&gt;?", ">"), ("&#x27;?|&#39;?", "''"), ("&amp;?", "&")):
+        text = f"regexp_replace({text}, '{pattern}', '{sign}', 'g')"
+    return text
+
+
+# Pages of the given tables mark their article by an element, so their main text can also be cut
+# out by patterns, without any of the operator's rules.
+EXTRACTION_SQL = rf"""
+WITH parts AS (
+  SELECT page_id, url, string_split_regex(
+    regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1), '<br>', ' ', 'g'),
+    '</?(?:p|h1)>') AS parts FROM pages),
+blocks AS (
+  SELECT page_id, url, list_filter(list_transform(parts, lambda x: trim(regexp_replace(
+    {_decoded("regexp_replace(x, '<[^>]*>', '', 'g')")}, '\s+', ' ', 'g'))), lambda x: x <> '') AS blocks FROM parts)
+SELECT page_id, url, array_to_string(blocks, chr(10) || chr(10)) AS text,
+  length(array_to_string(blocks, chr(10) || chr(10)))::BIGINT AS n_chars FROM blocks
+"""
+
+
+@query("op12_html_extraction", EXTRACTION_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(table(spark, sf_dir, "pages"))
