@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 100_000
 FEW_SPLITS = 64
 _local_folders: dict[str, str] = {}
+_scopes: list[list[str]] = []
 
 
 def work_folder(spark: SparkSession) -> str:
@@ -34,18 +37,44 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write the rows to the shared folder and read them back.
 
     This cuts the lineage, survives lost executors, and gives the planner real
-    file sizes for the steps that follow.
+    file sizes for the steps that follow. Within ``scratch`` the table goes when
+    the block ends; one to ``keep`` goes with the block around that, if there is one.
     """
     spark = df.sparkSession
     path = new_path(spark, name)
+    held = _scopes[: len(_scopes) - keep]
+    if held:
+        held[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a table of the shared folder, in whatever store it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables staged in this block are deleted when it ends, apart from those to keep.
+
+    Nothing may read them afterwards: what leaves the block must be a kept table.
+    """
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield
+    finally:
+        _scopes.pop()
+        for path in paths:
+            drop_folder(spark, path)
+
+
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     return df.limit(rows + 1).count() <= rows
 
