@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from textguard.llm.bytehash import BASE, chunks, mix, numbers, shingle_sets, text_buffers
 from textguard.llm.common import ROW_ID, ROW_TEXT, same_row, shuffles_dropped, with_row_key
 from textguard.plans.components import connected_components
-from textguard.session import broadcast_if_small, stage
+from textguard.session import broadcast_if_small, scratch, stage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -269,9 +269,9 @@ def near_duplicates(
     links join) and keep or lose all its rows; rows with a NULL id link with nothing, have a NULL
     component and are kept; other columns play no part; an empty table gives an empty table.
     """
-    with shuffles_dropped(docs.sparkSession):
+    with shuffles_dropped(docs.sparkSession), scratch(docs.sparkSession):
         verdicts = _groups(docs, id_column, text, shingle, percent, bands, per_band)
-        return stage(verdicts, "minhash-verdicts")
+        return stage(verdicts, "minhash-verdicts", keep=True)
 
 
 def _groups(
@@ -396,16 +396,30 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """One document of each group, with all its columns: that of the smallest id.
 
-    The keys to drop are joined back, never the texts of a group gathered. Rows that
-    repeat an id are cut to one, found by a count of ids.
+    The keys to drop are joined back, never the texts of a group gathered. Rows that repeat
+    an id are cut to one: that of the smallest text hash, and of equal texts any. Only the keys
+    to drop stay in the shared folder.
     """
-    verdicts = near_duplicates(docs, id_column, text, shingle, percent)
-    gone = verdicts.filter(~F.col("kept")).select(ROW_ID, ROW_TEXT).distinct()
-    gone = broadcast_if_small(stage(gone, "minhash-gone"))
+    spark = docs.sparkSession
     keyed = with_row_key(docs, id_column, text)
+    with scratch(spark):
+        verdicts = near_duplicates(docs, id_column, text, shingle, percent)
+        known = verdicts.filter(F.col(ROW_ID).isNotNull()).groupBy(ROW_ID).agg(
+            F.min_by(ROW_TEXT, F.struct(F.col(ROW_TEXT).isNull(), F.col(ROW_TEXT))).alias("first"),
+            F.count(F.lit(1)).alias("n"),
+        )
+        repeats = stage(known.filter("n > 1"), "minhash-repeats")
+        gone = verdicts.filter(~F.col("kept")).select(ROW_ID, ROW_TEXT)
+        if not repeats.isEmpty():
+            several = broadcast_if_small(repeats.select(F.col(ROW_ID).alias("__i"), "first"))
+            others = verdicts.join(several, verdicts[ROW_ID] == several["__i"])
+            others = others.filter(~F.col(ROW_TEXT).eqNullSafe(F.col("first")))
+            gone = gone.union(others.select(ROW_ID, ROW_TEXT))
+        gone = stage(gone.distinct(), "minhash-gone", keep=True)
+        twice = repeats.select(ROW_ID, F.col("first").alias(ROW_TEXT))
+        twice = stage(twice.join(gone, [ROW_ID, ROW_TEXT], "left_anti"), "minhash-twice", keep=True)
+    gone = broadcast_if_small(gone)
     kept = keyed.join(gone, same_row(keyed, gone), "left_anti")
-    twice = verdicts.filter(F.col(ROW_ID).isNotNull() & F.col("kept")).groupBy(ROW_ID).count()
-    twice = stage(twice.filter("count > 1").select(ROW_ID), "minhash-repeated")
     if twice.isEmpty():
         return kept.drop(ROW_ID, ROW_TEXT)
     twice = broadcast_if_small(twice)

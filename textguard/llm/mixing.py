@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from textguard.llm.common import count_words, number_hash
 from textguard.plans.skew import spread_join
-from textguard.session import stage
+from textguard.session import broadcast_if_small, scratch, stage
 
 HASH_BITS = 48
 STEP_BITS = 12
+NO_BLANK = r"[^\x20\x09-\x0D]"
 SOURCE, SIZE, HASH = "__source", "__size", "__hash"
 
 
@@ -61,7 +62,7 @@ def _refine(rows: DataFrame, found: DataFrame, shift: int) -> DataFrame:
     ``found`` has per source the words still ``left`` for the boundary bucket and the
     bucket's first hash, ``floor``, and width. Only rows of that bucket are counted.
     """
-    inside = rows.join(F.broadcast(found), rows[SOURCE].eqNullSafe(found["__key"])).filter(
+    inside = rows.join(broadcast_if_small(found), rows[SOURCE].eqNullSafe(found["__key"])).filter(
         (F.col(HASH) >= F.col("floor")) & (F.col(HASH) - F.col("floor") < F.col("width"))
     )
     bucket = F.shiftright(F.col(HASH) - F.col("floor"), shift)
@@ -84,6 +85,65 @@ def _refine(rows: DataFrame, found: DataFrame, shift: int) -> DataFrame:
     )
 
 
+def _hashed(id_column: str, text: str) -> Column:
+    return number_hash(
+        F.lit("mix:"),
+        F.coalesce(F.col(id_column).cast("string"), F.lit("null")),
+        F.lit(":"),
+        F.md5(F.coalesce(F.col(text), F.lit(""))),
+    )
+
+
+def _of(source: str) -> Column:
+    """The source as a key of a join, in which NULL is a value of its own."""
+    name = F.coalesce(F.col(source), F.lit(""))
+    return F.struct(F.col(source).isNull().alias("__none"), name.alias("__name"))
+
+
+def _limits(rows: DataFrame, weights: Sequence[float], share: float, most: float) -> DataFrame:
+    """Per source ``source_size``, ``target``, how many ``whole`` times it is taken, and the hash
+    ``limit`` below which a document is taken once more; a kept table."""
+    with scratch(rows.sparkSession):
+        sizes = rows.groupBy(SOURCE).agg(F.sum(SIZE).alias("source_size"))
+        targets = stage(
+            source_targets(sizes, SOURCE, "source_size", weights, share, most), "mix-targets"
+        )
+        whole = F.when(
+            F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))
+        ).otherwise(F.lit(0))
+        targets = targets.withColumn("whole", whole.cast("long"))
+        found = targets.select(
+            F.col(SOURCE).alias("__key"),
+            F.lit(0).cast("long").alias("floor"),
+            F.lit(1 << HASH_BITS).cast("long").alias("width"),
+            (F.col("target") - F.col("whole") * F.col("source_size")).alias("left"),
+            F.lit(0).cast("long").alias("words"),
+        ).filter("left > 0")
+        for shift in range(HASH_BITS - STEP_BITS, -1, -STEP_BITS):
+            found = stage(_refine(rows, found, shift), "mix-boundary")
+        nearer = (F.col("words") - F.col("left")) <= F.col("left")
+        limits = targets.join(found, targets[SOURCE].eqNullSafe(found["__key"]), "left").select(
+            _of(SOURCE).alias("__of"),
+            "source_size",
+            "target",
+            "whole",
+            F.when(nearer, F.col("floor") + 1).otherwise(F.col("floor")).alias("limit"),
+        )
+        return stage(limits, "mix-limits", keep=True)
+
+
+def _with_copies(rows: DataFrame, limits: DataFrame, some: Column) -> DataFrame:
+    """Add ``copies`` to rows that have a source, a hash and, where ``some``, any words."""
+
+    def counts() -> tuple[DataFrame, str]:
+        return rows.groupBy(_of(SOURCE).alias("__of")).agg(F.count(F.lit(1)).alias("n")), "n"
+
+    joined = spread_join(rows.withColumn("__of", _of(SOURCE)), limits, "__of", counts, [HASH])
+    extra: Column = F.when(F.col(HASH) < F.col("limit"), 1).otherwise(0)
+    copies = F.when(some, F.col("whole") + extra).otherwise(F.lit(0))
+    return joined.withColumn("copies", copies.cast("long"))
+
+
 def mix(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -109,69 +169,55 @@ def mix(
     is taken if that lies nearer to the target than leaving it. An empty table gives
     an empty table. Other columns come back only if named in ``carry``.
     """
-    hashed = number_hash(
-        F.lit("mix:"),
-        F.coalesce(F.col(id_column).cast("string"), F.lit("null")),
-        F.lit(":"),
-        F.md5(F.coalesce(F.col(text), F.lit(""))),
-    )
     plain = docs.select(
         F.col(id_column),
         *carry,
         F.col(source).alias(SOURCE),
         count_words(F.col(text)).alias(SIZE),
-        hashed.alias(HASH),
+        _hashed(id_column, text).alias(HASH),
     )
     rows = stage(plain, "mix-sizes")
-    sizes = rows.groupBy(SOURCE).agg(F.sum(SIZE).alias("source_size"))
-    targets = stage(
-        source_targets(sizes, SOURCE, "source_size", weights, share, most), "mix-targets"
-    )
-    whole = F.when(
-        F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))
-    ).otherwise(F.lit(0))
-    targets = targets.withColumn("whole", whole.cast("long"))
-    found = targets.select(
-        F.col(SOURCE).alias("__key"),
-        F.lit(0).cast("long").alias("floor"),
-        F.lit(1 << HASH_BITS).cast("long").alias("width"),
-        (F.col("target") - F.col("whole") * F.col("source_size")).alias("left"),
-        F.lit(0).cast("long").alias("words"),
-    ).filter("left > 0")
-    for shift in range(HASH_BITS - STEP_BITS, -1, -STEP_BITS):
-        found = stage(_refine(rows, found, shift), "mix-boundary")
-    nearer = (F.col("words") - F.col("left")) <= F.col("left")
-    limits = targets.join(found, targets[SOURCE].eqNullSafe(found["__key"]), "left").select(
-        F.coalesce(F.col(SOURCE), F.lit("")).alias("__name"),
-        F.col(SOURCE).isNull().alias("__none"),
-        "source_size",
-        "target",
-        "whole",
-        F.when(nearer, F.col("floor") + 1).otherwise(F.col("floor")).alias("limit"),
-    )
-    limits = stage(
-        limits.select(F.struct("__none", "__name").alias("__of"), "source_size", "target", "whole", "limit"),
-        "mix-limits",
-    )
-    of = F.struct(
-        F.col(SOURCE).isNull().alias("__none"), F.coalesce(F.col(SOURCE), F.lit("")).alias("__name")
-    )
-    joined = spread_join(
-        rows.withColumn("__of", of),
-        limits,
-        "__of",
-        lambda: (rows.groupBy(of.alias("__of")).agg(F.count(F.lit(1)).alias("n")), "n"),
-        [HASH],
-    )
-    extra: Column = F.when(F.col(HASH) < F.col("limit"), 1).otherwise(0)
-    copies = F.when(F.col(SIZE) > 0, F.col("whole") + extra).otherwise(F.lit(0)).cast("long")
-    return joined.select(
+    limits = _limits(rows, weights, share, most)
+    return _with_copies(rows, limits, F.col(SIZE) > 0).select(
         id_column,
         *carry,
         F.col(SOURCE).alias("source"),
         F.col(SIZE).alias("size"),
         "source_size",
         "target",
-        copies.alias("copies"),
-        (copies * F.col(SIZE)).alias("taken"),
+        "copies",
+        (F.col("copies") * F.col(SIZE)).alias("taken"),
+    )
+
+
+def take(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    weights: Sequence[float] = (5, 2, 1),
+    share: float = 1.5,
+    most: float = 2.0,
+) -> DataFrame:
+    """The documents with all their columns, each as often as the mixture takes it.
+
+    The decisions are those of ``mix``. They depend on a row and on its source's limits, so
+    they are made again in the row, and texts are neither written nor shuffled; only with
+    too many sources to broadcast is there a join.
+    """
+    with scratch(docs.sparkSession):
+        plain = docs.select(
+            F.col(source).alias(SOURCE),
+            count_words(F.col(text)).alias(SIZE),
+            _hashed(id_column, text).alias(HASH),
+        )
+        limits = stage(_limits(stage(plain, "mix-sizes"), weights, share, most), "mix-taken", keep=True)
+    rows = docs.select(
+        F.struct(*[F.col(name) for name in docs.columns]).alias("__row"),
+        F.col(source).alias(SOURCE),
+        _hashed(id_column, text).alias(HASH),
+        F.coalesce(F.col(text).rlike(NO_BLANK), F.lit(False)).alias("__some"),
     )
+    taken = _with_copies(rows, limits, F.col("__some")).filter("copies > 0")
+    again = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
+    return taken.select("__row", again.alias("__copy")).select("__row.*")

@@ -19,7 +19,7 @@ from textguard.llm.common import (
     with_row_key,
     words,
 )
-from textguard.session import broadcast_if_small, stage
+from textguard.session import broadcast_if_small, scratch, stage
 
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BETWEEN_ANY_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -196,10 +196,10 @@ def clean(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
     Documents drop out by their row key, against the contaminated keys alone; rows
     with NULL ids or texts are treated as in ``decontaminate``.
     """
-    verdicts = decontaminate(docs, items, doc_id, text)
-    bad = stage(
-        verdicts.filter("contaminated").select(ROW_ID, ROW_TEXT).distinct(), "contaminated"
-    )
+    with scratch(docs.sparkSession):
+        verdicts = decontaminate(docs, items, doc_id, text)
+        bad = verdicts.filter("contaminated").select(ROW_ID, ROW_TEXT).distinct()
+        bad = stage(bad, "contaminated", keep=True)
     keyed = with_row_key(docs, doc_id, text)
     bad = broadcast_if_small(bad)
     return keyed.join(bad, same_row(keyed, bad), "left_anti").drop(ROW_ID, ROW_TEXT)
