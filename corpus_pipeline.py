@@ -15,16 +15,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textguard.llm import minhash, mixing, quality, sharding, winnow
-from textguard.llm.common import ROW_ID, ROW_TEXT, same_row, with_row_key
-from textguard.session import broadcast_if_small, stage
+from textguard.session import drop_folder, new_path, scratch
 from textguard.sources.tables import table
 
 
 def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the weighed rules take for good. Texts are written beside their
-    measures, so that they are neither measured twice nor shuffled."""
-    judged = quality.quality_rules(docs, "text", docs.columns)
-    return judged.filter("kept").select(*docs.columns)
+    """Documents that the weighed rules take for good. Texts are measured twice, for the counts
+    of votes and for the verdicts, so that they are neither written nor shuffled in between."""
+    rows = docs.select(F.struct(*[F.col(name) for name in docs.columns]).alias("__row"), "text")
+    judged = quality.judge(quality.measure(rows, "text"))
+    return judged.filter("kept").select("__row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,15 +39,7 @@ def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mixture takes it: not at all, once or twice."""
-    keyed = with_row_key(docs, "doc_id", "text")
-    taken = mixing.mix(keyed, carry=(ROW_ID, ROW_TEXT)).filter("copies > 0")
-    copies = broadcast_if_small(
-        stage(taken.groupBy(ROW_ID, ROW_TEXT).agg(F.max("copies").alias("__copies")), "mix-copies")
-    )
-    rows = keyed.join(copies, same_row(keyed, copies)).select(
-        *docs.columns, F.explode(F.sequence(F.lit(1), F.col("__copies"))).alias("__copy")
-    )
-    return rows.select(*docs.columns)
+    return mixing.take(docs)
 
 
 def place_on_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,7 +61,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages over all documents; what a stage read or staged goes when its rows are written."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, apply in STAGES:
-        docs = stage(apply(spark, docs, sf_dir), f"pipeline-{name}")
+        path = new_path(spark, f"pipeline-{name}")
+        with scratch(spark):
+            apply(spark, docs, sf_dir).write.parquet(path)
+        if before is not None:
+            drop_folder(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
