@@ -515,7 +515,7 @@ HIDDEN_NAMES = ["worthless", "pathetic"]
 
 
 def _vault_sql() -> str:
-    """Mask rule by rule, keeping the distinct values of each in order."""
+    """Mask rule by rule, keeping the values of each in order, then fill the masks again."""
     steps = [("CUSTOM", sql.bounded(tx.any_of(HIDDEN_NAMES)), 0, "<CUSTOM>")]
     for rule in PII:
         mark = rf"{chr(92) + '1' if rule.lead else ''}<{rule.entity}>"
@@ -524,10 +524,22 @@ def _vault_sql() -> str:
     for i, (_, pattern, group, mark) in enumerate(steps):
         values = f"regexp_extract_all(t{i}, {sql.quoted(pattern)}, {group})"
         ctes.append(
-            f"s{i + 1} AS (SELECT *, list_filter({values}, lambda v, p: list_position({values}, v) = p"
-            f" AND v NOT IN ({sql.listed(ALLOWED)})) AS v{i},"
+            f"s{i + 1} AS (SELECT *, {values} AS a{i}, list_filter({values}, lambda v, p: list_position({values}, v)"
+            f" = p AND v NOT IN ({sql.listed(ALLOWED)})) AS v{i},"
             f" {sql.replaced(f't{i}', pattern, mark)} AS t{i + 1} FROM s{i})"
         )
+    ctes.append(f"f0 AS (SELECT *, t{len(steps)} AS b0 FROM s{len(steps)})")
+    for turn, (i, (entity, *_)) in enumerate(reversed(list(enumerate(steps)))):
+        put = (
+            f"coalesce(CASE WHEN list_position(v{i}, a{i}[p]) > 0 THEN '[REDACTED_{entity}_'"
+            f" || list_position(v{i}, a{i}[p]) || ']' ELSE a{i}[p] END, '')"
+        )
+        pieces = f"string_split(b{turn}, '<{entity}>')"
+        ctes.append(
+            f"f{turn + 1} AS (SELECT *, CASE WHEN len(a{i}) > 0 THEN array_to_string(list_transform({pieces},"
+            f" lambda x, p: x || {put}), '') ELSE b{turn} END AS b{turn + 1} FROM f{turn})"
+        )
+    ctes.append(f"filled AS (SELECT doc_id, text, b{len(steps)} AS sanitized FROM f{len(steps)})")
     entries = " UNION ALL ".join(
         f"SELECT doc_id, '{entity}' AS entity_type, unnest(v{i}) AS value,"
         f" CAST(unnest(range(1, len(v{i}) + 1)) AS INTEGER) AS idx FROM s{len(steps)}"
@@ -557,13 +569,7 @@ def anonymize_vault(spark, folder):
 @query(
     "anonymize_text",
     f"""{VAULT}
-    SELECT d.doc_id, CASE WHEN e IS NULL THEN text ELSE list_reduce(e, lambda done, x:
-        replace(done, split_part(x, chr(1), 1), split_part(x, chr(1), 2)), text) END AS sanitized,
-        {sql.yes_no('e IS NOT NULL')}
-    FROM documents d LEFT JOIN (
-        SELECT doc_id, list(value || chr(1) || placeholder ORDER BY -length(value), value, placeholder) AS e
-        FROM vault GROUP BY doc_id
-    ) v ON d.doc_id = v.doc_id
+    SELECT doc_id, sanitized, {sql.yes_no('doc_id IN (SELECT doc_id FROM vault)')} FROM filled
     """,
 )
 def anonymize_text(spark, folder):

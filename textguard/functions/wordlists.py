@@ -120,9 +120,16 @@ class PiiRule(NamedTuple):
 
 # Personal data, in the order in which the rules apply. Host names and
 # names of any length are matched by classes or possessive groups, which the JVM
-# matches in a loop; an endless ordinary group would exhaust its stack.
+# matches in a loop; an endless ordinary group would exhaust its stack. A match of host
+# characters begins at the head of their run, so that a long run is looked at once.
 PII_RULES = [
-    PiiRule("EMAIL", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+\.[A-Za-z0-9-][A-Za-z0-9.-]*", needs="@"),
+    PiiRule(
+        "EMAIL",
+        r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++"
+        r"(?:\.-*+[A-Za-z0-9]++(?:-++[A-Za-z0-9]++)*+)++(?![A-Za-z0-9_])",
+        edges=False,
+        needs="@",
+    ),
     PiiRule(
         "SECRET",
         r'(?i:bearer [A-Za-z0-9._~+/-]+|token = "[0-9a-f]{40}")',
@@ -130,7 +137,13 @@ PII_RULES = [
         needs="(?i)bearer |token = ",
     ),
     PiiRule("URL", r'https?://[^ \t\n\r\f<>"]+', needs="https?://"),
-    PiiRule("DOMAIN", r"[a-z0-9-][a-z0-9.-]*\.(?:com|org|net|site|io)", needs=r"\.(?:com|org|net|site|io)"),
+    PiiRule(
+        "DOMAIN",
+        r"[A-Za-z0-9][A-Za-z0-9.-]*(?<=[A-Za-z0-9-])\.(?:com|org|net|site|io)(?![A-Za-z0-9_])",
+        edges=False,
+        lead=r"(?<![A-Za-z0-9.-])[.-]*+",
+        needs=r"\.(?:com|org|net|site|io)",
+    ),
     PiiRule("IP", r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}"),
     PiiRule("IBAN", r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}"),
     PiiRule("CRYPTO", r"[13][A-HJ-NP-Za-km-z1-9]{25,34}"),

@@ -16,7 +16,9 @@ from textguard.functions import text as tx
 from textguard.functions.wordlists import PII_ALIASES, PII_GROUPS, PII_RULES, PiiRule
 from textguard.operators.rule import Expression, Rule, flag
 
-CUSTOM = "CUSTOM"
+CUSTOM, LITERAL, MARKS = "CUSTOM", "LITERAL", "MARKS"
+PLACEHOLDER = r"\[REDACTED_[A-Z_]+_[0-9]+\]"
+FIRST_MARK = 0xF0000
 NUMBER_EDGE = "(?:(?<![A-Za-z0-9_])(?=[0-9])|(?<=[0-9])(?![A-Za-z0-9_]))"
 Gazetteer = Mapping[str, Sequence[str]]
 
@@ -109,56 +111,44 @@ def count_pii(
     return wide.unpivot(list(by), list(marks), "entity", "n_hits")
 
 
-def _hits(
-    df: DataFrame, text: str, rules: Sequence[PiiRule], hidden_names: Sequence[str]
-) -> DataFrame:
-    """Add ``__hits``: per entity the distinct values in order of appearance.
+def _mark(number: int) -> str:
+    """Stands for a value of the rule of that number; no rule matches it, or across it."""
+    return f"<{chr(FIRST_MARK + number)}>"
 
-    Each masking step is a projection of its own, so it runs once although both
-    the values of its rule and the next step read it.
-    """
-    custom = tx.any_of(hidden_names)
-    hidden = [PiiRule(CUSTOM, custom, needs=custom)] if hidden_names else []
-    found = []
-    df = df.withColumn("__text_0", F.col(text))
-    for step, rule in enumerate([*hidden, *rules]):
-        before = F.col(f"__text_{step}")
-        values = F.array_distinct(_values(before, rule))
-        none = F.array().cast("array<string>")
-        df = df.withColumn(
-            f"__values_{step}", F.when(before.rlike(rule.needs), values).otherwise(none)
-        ).withColumn(
-            f"__text_{step + 1}",
-            F.when(F.size(f"__values_{step}") > 0, _masked(before, rule)).otherwise(before),
-        )
-        found.append(
-            F.struct(
-                F.lit(rule.entity).alias("entity_type"), F.col(f"__values_{step}").alias("vals")
-            )
-        )
-    scratch = [name for name in df.columns if name.startswith(("__text_", "__values_"))]
-    return df.withColumn("__hits", F.array(*found)).drop(*scratch)
 
+def _spliced(text: Column, marks: Column | str, values: Column) -> Column:
+    """Put the values, in order, where the marks are: one pass over the text."""
+    pieces = F.split(text, marks, -1)
+    return F.array_join(
+        F.zip_with(pieces, values, lambda piece, value: F.concat(piece, F.coalesce(value, F.lit("")))), ""
+    )
 
-def _numbered(hits: Column, allowed_names: Sequence[str]) -> Column:
-    """Vault entries of one text: values numbered per entity by first appearance."""
-    allowed = F.array(*[F.lit(name) for name in allowed_names]).cast("array<string>")
 
-    def entries(hit: Column) -> Column:
-        kept = F.array_except(hit["vals"], allowed)
-        return F.transform(
-            kept,
-            lambda value, at: F.struct(
-                hit["entity_type"].alias("entity_type"),
-                (at + 1).cast("int").alias("idx"),
-                value.alias("value"),
-                F.concat(
-                    F.lit("[REDACTED_"), hit["entity_type"], F.lit("_"), at + 1, F.lit("]")
-                ).alias("placeholder"),
-            ),
-        )
+def _placeholder(entity: str, number: Column) -> Column:
+    return F.concat(F.lit(f"[REDACTED_{entity}_"), number.cast("string"), F.lit("]"))
+
+
+def _entries(entity: str, distinct: Column) -> Column:
+    """Vault entries of one text: values numbered by first appearance."""
+    return F.transform(
+        distinct,
+        lambda value, at: F.struct(
+            F.lit(entity).alias("entity_type"),
+            (at + 1).cast("int").alias("idx"),
+            value.alias("value"),
+            _placeholder(entity, at + 1).alias("placeholder"),
+        ),
+    )
 
-    return F.flatten(F.transform(hits, entries))
+
+def _placeholders(entity: str, values: Column, distinct: Column) -> Column:
+    """The placeholder of each value; a value that is not numbered stays."""
+
+    def of_value(names: Column, value: Column) -> Column:
+        at = F.array_position(names, value)
+        return F.when(at > 0, _placeholder(entity, at)).otherwise(value)
+
+    return tx.bind(distinct, lambda names: F.transform(values, lambda value: of_value(names, value)))
 
 
 def anonymize(
@@ -172,27 +162,56 @@ def anonymize(
 ) -> DataFrame:
     """Replace each value by a numbered placeholder and keep the pairs as ``vault``.
 
-    The same value gets the same placeholder throughout a text. Longer values are
-    replaced first, so that a value inside another one cannot break it up.
+    The same value gets the same placeholder throughout a text. Values are replaced where
+    they were found and nowhere else, and allowed names stay. What looks like a
+    placeholder in the source gets one itself, as LITERAL, which is no violation;
+    so ``restore`` always gives the source back.
+
+    Each rule leaves marks in the text and its values in order; every step is a projection of its
+    own, so that it runs once although several others read it. Then the marks of each rule
+    are filled with the placeholders of its values.
     """
-    found = _hits(df, text, rules_for(entities, gazetteer), hidden_names)
-    vaulted = found.withColumn("vault", _numbered(F.col("__hits"), allowed_names)).drop("__hits")
-    longest_first = F.sort_array(
-        F.transform(
-            "vault",
-            lambda e: F.struct(
-                (-F.length(e["value"])).alias("shortness"), e["value"], e["placeholder"]
-            ),
+    custom = tx.any_of(hidden_names)
+    own = [PiiRule(MARKS, f"[{chr(FIRST_MARK)}-{chr(FIRST_MARK + 255)}]", edges=False, needs="")]
+    literal = [PiiRule(LITERAL, PLACEHOLDER, edges=False, needs=r"\[REDACTED_")]
+    hidden = [PiiRule(CUSTOM, custom, needs=custom)] if hidden_names else []
+    steps = [*own, *literal, *hidden, *rules_for(entities, gazetteer)]
+    allowed = F.array(*[F.lit(name) for name in allowed_names]).cast("array<string>")
+    none = F.array().cast("array<string>")
+    before = list(df.columns)
+    df = df.withColumn("__text_0", F.col(text))
+    for at, rule in enumerate(steps):
+        masked = F.regexp_replace(
+            f"__text_{at}", _pattern(rule), ("$1" if rule.lead else "") + _mark(at)
         )
-    )
-    replaced = F.aggregate(
-        longest_first, F.col(text), lambda done, e: F.replace(done, e["value"], e["placeholder"])
-    )
-    risk = F.when(F.col(text).isNotNull(), flag(F.size("vault") > 0))
+        here = F.col(f"__text_{at}")
+        found = F.when(here.rlike(rule.needs or rule.pattern), _values(here, rule))
+        df = df.withColumn(f"__values_{at}", F.coalesce(found, none)).withColumn(
+            f"__text_{at + 1}",
+            F.when(F.size(f"__values_{at}") > 0, masked).otherwise(F.col(f"__text_{at}")),
+        )
+    vaults = []
+    df = df.withColumn("__filled_0", F.col(f"__text_{len(steps)}"))
+    for turn, at in enumerate(reversed(range(len(steps)))):
+        values, filled = F.col(f"__values_{at}"), F.col(f"__filled_{turn}")
+        put = values
+        if steps[at].entity != MARKS:
+            distinct = F.array_except(values, allowed)
+            vaults.insert(0, _entries(steps[at].entity, distinct))
+            put = _placeholders(steps[at].entity, values, distinct)
+        df = df.withColumn(
+            f"__filled_{turn + 1}",
+            F.when(F.size(values) > 0, _spliced(filled, _mark(at), put)).otherwise(filled),
+        )
+    df = df.withColumn("vault", F.flatten(F.array(*vaults)))
+    seen = F.exists("vault", lambda entry: entry["entity_type"] != LITERAL)
+    risk = F.when(F.col(text).isNotNull(), flag(seen))
     verdict = F.struct(
-        replaced.alias("sanitized"), (risk < 1).alias("is_valid"), risk.alias("risk_score")
+        F.col(f"__filled_{len(steps)}").alias("sanitized"),
+        (risk < 1).alias("is_valid"),
+        risk.alias("risk_score"),
     )
-    return vaulted.withColumn(out, verdict)
+    return df.withColumn(out, verdict).select(*before, "vault", out)
 
 
 def vault_table(anonymized: DataFrame, *keys: str) -> DataFrame:
@@ -201,7 +220,12 @@ def vault_table(anonymized: DataFrame, *keys: str) -> DataFrame:
 
 
 def restore(text: str, vault: str = "vault") -> Column:
-    """Put the vaulted values back into an anonymized text."""
-    return F.aggregate(
-        F.col(vault), F.col(text), lambda done, e: F.replace(done, e["placeholder"], e["value"])
+    """Put the vaulted values back into an anonymized text, in one pass over it."""
+    held = F.map_from_entries(
+        F.transform(vault, lambda entry: F.struct(entry["placeholder"], entry["value"]))
+    )
+    found = tx.extract(F.col(text), PLACEHOLDER, 0)
+    values = tx.bind(
+        held, lambda known: F.transform(found, lambda mark: F.coalesce(known[mark], mark))
     )
+    return _spliced(F.col(text), PLACEHOLDER, values)

@@ -172,7 +172,10 @@ def financial_tone(
 ) -> Rule:
     """The tone must be the expected one, which may differ from row to row; no verdict
     where none is expected."""
-    wanted = F.lit(expected) if isinstance(expected, str) else expected
+
+    def verdict(tone: Column) -> Column:
+        wanted = F.lit(expected) if isinstance(expected, str) else expected
+        return F.when(wanted.isNotNull(), flag(tone != wanted))
 
     def tone(text: Column) -> Column:
         sign = F.signum(compound(text, positive, negative))
@@ -181,7 +184,7 @@ def financial_tone(
 
     return Rule(
         "financial_tone",
-        lambda tone: F.when(wanted.isNotNull(), flag(tone != wanted)),
+        verdict,
         measure=tone,
         details={"tone": itself},
     )
