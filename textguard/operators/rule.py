@@ -25,7 +25,8 @@ class Rule:
 
     A text is valid while its risk stays below ``limit``; at limit 0 only a risk
     of 0 is valid. With ``measure`` the text is measured once, and the risk and
-    the ``details`` to keep, such as found terms, are taken from the measure.
+    the ``details`` to keep, such as found terms, are taken from the measure;
+    ``repair`` is a fix that looks at the measure too.
     """
 
     name: str
@@ -35,6 +36,7 @@ class Rule:
     on_fail: str = "fix"
     measure: Expression | None = None
     details: Mapping[str, Expression] = field(default_factory=dict)
+    repair: Callable[[Column, Column], Column] | None = None
 
 
 def flag(violated: Column) -> Column:
@@ -54,7 +56,10 @@ def _verdict(rule: Rule, text: Column, measure: Column, risk: Column) -> Column:
     is_valid = risk < rule.limit if rule.limit > 0 else risk <= 0
     sanitized = text
     if rule.on_fail == "fix":
-        fixed = rule.fix(text) if rule.fix else F.lit(None).cast("string")
+        if rule.repair:
+            fixed = rule.repair(text, measure)
+        else:
+            fixed = rule.fix(text) if rule.fix else F.lit(None).cast("string")
         sanitized = F.when(is_valid, text).otherwise(fixed)
     return F.struct(
         sanitized.alias("sanitized"),
