@@ -24,6 +24,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 FRAME_BYTES = 256 * 1024
 BUNDLE_BYTES = 16 * 1024 * 1024
 REVISIT_BYTES = 100
+MOST_READERS = 20_000
 # Fixed values of the seekable format: a skippable frame that ends the file.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 Batches = Iterator[pa.RecordBatch]
@@ -266,9 +267,17 @@ def _reader(with_payload: bool) -> Callable[[Batches], Batches]:
 
 def read_bundles(index: DataFrame, with_payload: bool = True) -> DataFrame:
     """All records of the bundles that an index names, read frame by frame; the payload of
-    each response is checked against its digest."""
+    each response is checked against its digest. Bundles are dealt out one to a task, up
+    to MOST_READERS tasks: the list of names is short, and would else be one task's.
+
+    An empty index gives no records; a bundle without records gives none."""
     bundles = index.select("bundle").distinct()
-    return bundles.mapInArrow(_reader(with_payload), RECORDS)
+    return bundles.repartition(_readers(index)).mapInArrow(_reader(with_payload), RECORDS)
+
+
+def _readers(index: DataFrame) -> int:
+    bundles = index.agg(F.count_distinct("bundle")).first()[0]
+    return max(1, min(bundles, MOST_READERS))
 
 
 def _seeker() -> Callable[[Batches], Batches]:
@@ -295,12 +304,14 @@ def _seeker() -> Callable[[Batches], Batches]:
 
 def fetch(index_rows: DataFrame) -> DataFrame:
     """The records of some index rows: each is read by seeking to its frame, and a frame
-    that holds several of them is decompressed once per batch."""
-    placed = index_rows.select("bundle", "frame", "offset").repartition("bundle")
+    that holds several of them is decompressed once per batch. No rows give no records."""
+    wanted = index_rows.select("bundle", "frame", "offset")
+    placed = wanted.repartition(_readers(wanted), "bundle")
     return placed.mapInArrow(_seeker(), RECORDS)
 
 
 def archive(spark: SparkSession, pages: DataFrame) -> DataFrame:
-    """Write all pages to a new folder of bundles and read them back."""
+    """Write all pages to a new folder of bundles and read them back; an empty table gives
+    no bundles and no records."""
     index = write_bundles(pages, new_path(spark, "warc"))
     return read_bundles(index, with_payload=False)
