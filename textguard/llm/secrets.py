@@ -52,7 +52,7 @@ MORE_RULES = (
     SecretRule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     SecretRule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     SecretRule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    SecretRule("url_password", r"[a-z][a-z0-9+]{1,9}://[^\s/:@]{1,64}:[^\s/@]{3,64}@"),
+    SecretRule("url_password", r"[a-z][a-z0-9+]{1,9}://[^\s/:@]*:[^\s/@]{3,}@"),
 )
 
 
