@@ -335,7 +335,7 @@ def test_branches_share_a_prefix(spark):
     ]
     conversations = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
     branched = preferences.branch(conversations)
-    made = preferences.format_preferences(branched, preferences.pair_neighbours(branched))
+    made = preferences.format_preferences(branched, preferences.pair_branches(branched))
     whole = {r["pair_id"]: r for r in preferences.assemble(made).collect()}
 
     def shown(*turns):

@@ -30,6 +30,13 @@ def pair_neighbours(conversations: DataFrame, conv_id: str = "conv_id") -> DataF
     )
 
 
+def pair_branches(branched: DataFrame, conv_id: str = "conv_id") -> DataFrame:
+    """(pair_id, chosen, rejected): the two sides of each conversation that ``branch`` made."""
+    convs = branched.select(F.col(conv_id)["conv"].alias("pair_id")).distinct()
+    sides = [F.struct(F.col("pair_id").alias("conv"), F.lit(side).alias("side")) for side in (0, 1)]
+    return convs.select("pair_id", sides[0].alias("chosen"), sides[1].alias("rejected"))
+
+
 def branch(
     conversations: DataFrame,
     conv_id: str = "conv_id",
@@ -38,8 +45,8 @@ def branch(
     text: str = "text",
     answering: str = "assistant",
 ) -> DataFrame:
-    """(conv_id, turn, role, text): each conversation c with an answer twice, so that
-    ``pair_neighbours`` pairs both under the pair_id c. 2c is c as it is; 2c + 1 is c up to
+    """(conv_id, turn, role, text): each conversation c with an answer twice, under the ids
+    (c, 0) and (c, 1), for ``pair_branches``. The first is c as it is; the second is c up to
     its last answer, which the last answer of the next conversation with one (the first
     follows on the last) replaces. Both share the turns before that answer.
 
@@ -65,7 +72,7 @@ def branch(
     branches = numbered.withColumn("__next", follows).join(givers, "__next").select("conv", "at", "giver", "given")
     branches = broadcast_if_small(stage(branches, "preference-branches"))
     own = turns.join(branches, "conv")
-    whole, cut = 2 * F.col("conv"), 2 * F.col("conv") + 1
+    whole, cut = (F.struct("conv", F.lit(side).alias("side")) for side in (0, 1))
     sides = F.when(F.col("turn") < F.col("at"), F.array(whole, cut)).otherwise(F.array(whole))
     kept = own.select(F.explode(sides).alias("conv_id"), "turn", "role", "text")
     other = (

@@ -247,19 +247,50 @@ branches AS (
   SELECT f.conv, f.place, f.giver, a.place AS given FROM following f JOIN answers a ON a.conv = f.giver
   WHERE f.conv <> f.giver),
 branched AS (
-  SELECT 2 * conv AS conv_id, turn, role, text FROM turns JOIN branches USING (conv)
-  UNION ALL SELECT 2 * conv + 1, turn, role, text FROM turns JOIN branches USING (conv) WHERE turn < place
-  UNION ALL SELECT 2 * b.conv + 1, b.place, t.role, t.text
+  SELECT conv, 0 AS half, turn, role, text FROM turns JOIN branches USING (conv)
+  UNION ALL SELECT conv, 1, turn, role, text FROM turns JOIN branches USING (conv) WHERE turn < place
+  UNION ALL SELECT b.conv, 1, b.place, t.role, t.text
   FROM branches b JOIN turns t ON t.conv = b.giver AND t.turn = b.given WHERE t.role = 'assistant'),
+placed AS (
+  SELECT conv AS pair_id, CASE half WHEN 0 THEN 'chosen' ELSE 'rejected' END AS side, turn,
+    coalesce(role, 'none') AS role, coalesce(text, '') AS body, text IS NULL AS none FROM branched),
 """
-    + PREFERENCE_SQL.strip().removeprefix("WITH ").replace("FROM conversations", "FROM branched")
+    + PREFERENCE_SQL[PREFERENCE_SQL.index("first AS (") :]
 )
 
 
 @query("op6_preference_branches", BRANCH_SQL)
 def op6_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
     branched = preferences.branch(table(spark, sf_dir, "conversations"))
-    return preferences.format_preferences(branched, preferences.pair_neighbours(branched))
+    return preferences.format_preferences(branched, preferences.pair_branches(branched))
+
+
+_ORDER = "turn, role, rendered, mask_start, mask_end"
+EXAMPLE_SQL = f"""
+WITH formatted AS ({BRANCH_SQL}),
+placed AS (
+  SELECT *, coalesce(sum(length(rendered)) OVER (PARTITION BY pair_id, section ORDER BY {_ORDER}
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM formatted)
+SELECT pair_id,
+  {", ".join(f"coalesce(string_agg(rendered, '' ORDER BY {_ORDER}) FILTER (section = '{name}'), '') AS {name}"
+             for name in ("prompt", "chosen", "rejected"))},
+  {", ".join("coalesce(string_agg((start + mask_start) || '-' || (start + mask_end), ',' ORDER BY start) "
+             f"FILTER (section = '{name}' AND mask_end > mask_start), '') AS {name}_masks"
+             for name in ("chosen", "rejected"))}
+FROM placed GROUP BY pair_id
+"""
+
+
+@query("op6_preference_examples", EXAMPLE_SQL)
+def op6_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    branched = preferences.branch(table(spark, sf_dir, "conversations"))
+    formatted = preferences.format_preferences(branched, preferences.pair_branches(branched))
+
+    def spans(masks: str):
+        return F.array_join(F.transform(masks, lambda m: F.concat_ws("-", m["start"], m["end"])), ",")
+
+    examples = preferences.assemble(formatted)
+    return examples.withColumns({name: spans(name) for name in ("chosen_masks", "rejected_masks")})
 
 
 def _plain_words(text: str) -> str:
