@@ -14,7 +14,7 @@ from textguard.functions import text as tx
 from textguard.functions import wordlists as wl
 from textguard.functions.wordlists import Entry
 from textguard.operators import language as lang
-from textguard.operators import pii, scored
+from textguard.operators import pii, scored, vault
 from textguard.operators import text_rules as rules
 from textguard.operators.rule import (
     Rule,
@@ -587,6 +587,50 @@ def anonymize_restore(spark, folder):
     return done.select("doc_id", pii.restore("sanitized").alias("restored"))
 
 
+# One vault for all documents: values numbered by kind, local placeholders exchanged through marks
+# that no text holds.
+CORPUS_VAULT = f"""{VAULT},
+    numbered AS (
+        SELECT entity_type, value, row_number() OVER (PARTITION BY entity_type ORDER BY value) AS idx
+        FROM (SELECT DISTINCT entity_type, value FROM vault)),
+    exchanged AS (
+        SELECT v.doc_id, list(v.placeholder || chr(1) || chr(2) || v.entity_type || '_' || n.idx || chr(3)) AS e
+        FROM vault v JOIN numbered n USING (entity_type, value) GROUP BY v.doc_id)"""
+
+
+def corpus_vault(spark, folder):
+    docs = documents(spark, folder)
+    return vault.anonymize_corpus(docs, "doc_id", "text", allowed_names=ALLOWED, hidden_names=HIDDEN_NAMES)
+
+
+@query(
+    "vault_corpus",
+    f"""{CORPUS_VAULT}
+    SELECT entity_type, idx, value, '[REDACTED_' || entity_type || '_' || idx || ']' AS placeholder FROM numbered""",
+)
+def vault_corpus(spark, folder):
+    return corpus_vault(spark, folder).vault
+
+
+@query(
+    "vault_corpus_text",
+    f"""{CORPUS_VAULT}
+    SELECT doc_id, CASE WHEN e IS NULL THEN sanitized ELSE replace(replace(list_reduce(e, lambda done, x:
+        replace(done, split_part(x, chr(1), 1), split_part(x, chr(1), 2)), sanitized), chr(2), '[REDACTED_'), chr(3), ']')
+        END AS sanitized, e IS NULL AS is_valid
+    FROM filled LEFT JOIN exchanged USING (doc_id)""",
+)
+def vault_corpus_text(spark, folder):
+    return corpus_vault(spark, folder).texts
+
+
+@query("vault_corpus_restore", "SELECT doc_id, text AS restored FROM documents")
+def vault_corpus_restore(spark, folder):
+    done = corpus_vault(spark, folder)
+    back = vault.restore_corpus(done.texts, done.vault, "doc_id")
+    return back.select("doc_id", F.col("sanitized").alias("restored"))
+
+
 SENSITIVE = pii.rules_for(["PERSON", "EMAIL", "IP", "PHONE", "CREDIT_CARD"])
 
 

@@ -116,7 +116,7 @@ def _mark(number: int) -> str:
     return f"<{chr(FIRST_MARK + number)}>"
 
 
-def _spliced(text: Column, marks: Column | str, values: Column) -> Column:
+def spliced(text: Column, marks: Column | str, values: Column) -> Column:
     """Put the values, in order, where the marks are: one pass over the text."""
     pieces = F.split(text, marks, -1)
     return F.array_join(
@@ -201,7 +201,7 @@ def anonymize(
             put = _placeholders(steps[at].entity, values, distinct)
         df = df.withColumn(
             f"__filled_{turn + 1}",
-            F.when(F.size(values) > 0, _spliced(filled, _mark(at), put)).otherwise(filled),
+            F.when(F.size(values) > 0, spliced(filled, _mark(at), put)).otherwise(filled),
         )
     df = df.withColumn("vault", F.flatten(F.array(*vaults)))
     seen = F.exists("vault", lambda entry: entry["entity_type"] != LITERAL)
@@ -228,4 +228,4 @@ def restore(text: str, vault: str = "vault") -> Column:
     values = tx.bind(
         held, lambda known: F.transform(found, lambda mark: F.coalesce(known[mark], mark))
     )
-    return _spliced(F.col(text), PLACEHOLDER, values)
+    return spliced(F.col(text), PLACEHOLDER, values)
