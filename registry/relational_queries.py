@@ -299,6 +299,49 @@ def url_reachability(spark, folder):
     return reachability.url_reachability(linked_pages(spark, folder), "page_id", "x", probes)
 
 
+def probes(spark, folder):
+    events = table(spark, folder, "events")
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    columns = [part.strip() for part in PROBE.split(",")]
+    own = events.join(pages, F.col("user_id") == F.col("page_id")).selectExpr("url", *columns)
+    return own.union(events.selectExpr("'http://www.example.com/' AS url", *columns))
+
+
+@query(
+    "url_reachability_asof",
+    f"""
+    WITH {URLS},
+    probes AS (
+        SELECT url, {PROBE} FROM events JOIN pages ON user_id = page_id
+        UNION ALL
+        SELECT 'http://www.example.com/', {PROBE} FROM events
+    ),
+    latest AS (
+        SELECT url, checked_at, max(struct_pack(status_code := status_code, elapsed_s := elapsed_s)) AS p
+        FROM probes GROUP BY url, checked_at
+    ),
+    fetched AS (SELECT page_id, ts AS fetched_at FROM pages JOIN events ON event_id = 7 * page_id),
+    seen AS (
+        SELECT u.page_id, p FROM (SELECT * FROM uses JOIN fetched USING (page_id)) u
+        ASOF LEFT JOIN latest l ON u.url = l.url AND u.fetched_at >= l.checked_at
+    ),
+    judged AS (
+        SELECT page_id, count(*) AS n_urls,
+            count(*) FILTER (NOT coalesce(p.status_code IN (200, 201, 202, 301, 302) AND p.elapsed_s <= 1, false)) AS n_unreachable
+        FROM seen GROUP BY page_id
+    )
+    SELECT page_id, coalesce(n_urls, 0) AS n_urls, coalesce(n_unreachable, 0) AS n_unreachable,
+        {sql.yes_no('coalesce(n_unreachable, 0) > 0')}
+    FROM fetched LEFT JOIN judged USING (page_id)
+    """,
+)
+def url_reachability_asof(spark, folder):
+    """Each page as of the time of one of the events, which stands for its fetch."""
+    times = table(spark, folder, "events").select("event_id", F.col("ts").alias("fetched_at"))
+    fetched = linked_pages(spark, folder).join(times, F.col("event_id") == 7 * F.col("page_id"))
+    return reachability.url_reachability_at(fetched, "page_id", "x", "fetched_at", probes(spark, folder))
+
+
 # --- streams ----------------------------------------------------------------------------
 
 

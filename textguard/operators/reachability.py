@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textguard.functions import text as tx
+from textguard.plans.asof import asof_join
 from textguard.plans.skew import spread_join
 from textguard.session import stage
 
@@ -64,11 +65,39 @@ def url_reachability(
         F.count(F.lit(1)).alias("n_urls"),
         F.count_if(~F.coalesce(F.col("reachable"), F.lit(False))).alias("n_unreachable"),
     )
-    risk = F.when(F.col(text).isNotNull(), F.when(F.col("n_unreachable") > 0, 1.0).otherwise(0.0))
-    return df.join(broken, key, "left").select(
+    return _verdicts(df, key, text, broken)
+
+
+def _verdicts(df: DataFrame, key: str, text: str, broken: DataFrame) -> DataFrame:
+    """What the counts of broken URLs say of each text; only keys are joined."""
+    risk = F.when(F.col("known"), F.when(F.col("n_unreachable") > 0, 1.0).otherwise(0.0))
+    known = df.select(key, F.col(text).isNotNull().alias("known"))
+    return known.join(broken, key, "left").select(
         key,
         F.coalesce("n_urls", F.lit(0)).alias("n_urls"),
         F.coalesce("n_unreachable", F.lit(0)).alias("n_unreachable"),
         (risk < 1).alias("is_valid"),
         risk.alias("risk_score"),
     )
+
+
+def url_reachability_at(
+    df: DataFrame,
+    key: str,
+    text: str,
+    fetched_at: str,
+    probes: DataFrame,
+    success_status_codes: Sequence[int] = (200, 201, 202, 301, 302),
+    timeout: float = 1.0,
+) -> DataFrame:
+    """The same as of the time at which each text was fetched: of every URL the latest probe up to then
+    counts, and a URL not probed by then is not reachable. Texts stay where they are."""
+    found = F.array_distinct(tx.extract(F.col(text), URL))
+    uses = df.select(key, F.col(fetched_at).alias("__fetched"), F.explode(found).alias("url"))
+    seen = asof_join(uses, probes, "url", "__fetched", "checked_at", ["status_code", "elapsed_s"])
+    reachable = F.col("status_code").isin(list(success_status_codes)) & (F.col("elapsed_s") <= timeout)
+    broken = seen.groupBy(key).agg(
+        F.count(F.lit(1)).alias("n_urls"),
+        F.count_if(~F.coalesce(reachable, F.lit(False))).alias("n_unreachable"),
+    )
+    return _verdicts(df, key, text, broken)

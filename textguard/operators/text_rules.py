@@ -17,10 +17,8 @@ from textguard.session import broadcast_if_small
 REDACTED = "[REDACTED]"
 HTTP_URL = r"https?://[^ \t\n\r\f/?#]+(?:[/?#][^ \t\n\r\f]*)?"
 HIDDEN = r"[\p{Cf}\p{Co}\p{Cn}]"
-TAG_BASE = 0xE0000
+TAG_PLANE = "000E"
 PREFIX_TOKENS = 500
-TAGGED = "".join(chr(code) for code in range(1, 256))
-TAGS = "".join(chr(TAG_BASE + code) for code in range(1, 256))
 
 
 def regex_match(pattern: str, search: bool = False) -> Rule:
@@ -283,14 +281,16 @@ def invisible_text(hidden: str = HIDDEN) -> Rule:
 
 
 def to_tag_text(text: Column) -> Column:
-    """Write Latin-1 characters as invisible tag characters."""
-    return F.translate(text, TAGGED, TAGS)
+    """Write every character as invisible ones: its UTF-16 units moved to the plane of tags."""
+    units = F.hex(F.encode(text, "UTF-16BE"))
+    return F.decode(F.unhex(F.regexp_replace(units, "(.{4})", f"{TAG_PLANE}$1")), "UTF-32")
 
 
 def reveal_tag_text(text: Column) -> Column:
     """The message hidden in tag characters, in readable form."""
-    hidden = tx.extract(text, r"[\x{E0001}-\x{E00FF}]+")
-    return F.translate(F.array_join(hidden, ""), TAGS, TAGGED)
+    hidden = F.array_join(tx.extract(text, r"[\x{E0001}-\x{EFFFF}]+"), "")
+    points = F.hex(F.encode(hidden, "UTF-32"))
+    return F.decode(F.unhex(F.regexp_replace(points, f"{TAG_PLANE}(.{{4}})", "$1")), "UTF-16BE")
 
 
 def token_limit(limit: int) -> Rule:

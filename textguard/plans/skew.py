@@ -93,12 +93,14 @@ def next_in_group(
     )
     heads = spans.filter(F.col("__at") == 1).select(group, "__span", row.alias("__head"))
     following = heads.select(
-        group,
-        "__span",
+        F.col(group).alias("__group"),
+        F.col("__span").alias("__of"),
         F.lead("__head").over(Window.partitionBy(group).orderBy("__span")).alias("__next_head"),
     )
+    # NULL is a group like any other.
+    same = spans[group].eqNullSafe(F.col("__group")) & spans["__span"].eqNullSafe(F.col("__of"))
     return (
-        spans.join(following, [group, "__span"])
+        spans.join(following, same)
         .withColumn("next", F.coalesce("__inside", "__next_head"))
-        .drop("__span", "__inside", "__at", "__next_head")
+        .drop("__span", "__inside", "__at", "__next_head", "__group", "__of")
     )
