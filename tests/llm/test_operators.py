@@ -416,7 +416,7 @@ def test_empty_tables(spark, nothing, items):
     assert secrets.find_secrets(nothing).count() == 0
 
 
-def test_pipeline_against_brute_force(spark, docs, tmp_path):
+def test_pipeline_stages_keep_the_columns(spark, docs, tmp_path):
     folder = str(tmp_path)
     docs.write.parquet(f"{folder}/documents.parquet")
     item = " ".join(TEXTS[4].split()[5:25])
