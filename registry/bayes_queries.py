@@ -30,7 +30,7 @@ def _bayes_sql(features: str) -> str:
         FROM counts GROUP BY label),
     labels_ AS (SELECT label, floor(1000 * ln(1 / size))::BIGINT AS unseen FROM sums),
     gains AS MATERIALIZED (
-        SELECT feature, label, floor(1000 * ln((n + 1) / size))::BIGINT - floor(1000 * ln(1 / size))::BIGINT AS gain
+        SELECT feature, label, floor(1000 * ln((n + 1) / size))::BIGINT - floor(1000 * ln(1 / size))::BIGINT AS gain, n
         FROM counts JOIN sums USING (label))"""
 
 
@@ -86,11 +86,13 @@ TOXICITY_SQL = f"""
     odds AS (
         SELECT feature, coalesce(max(gain) FILTER (label = 1), 0) - coalesce(max(gain) FILTER (label = 0), 0)
             + (SELECT max(unseen) FILTER (label = 1) - max(unseen) FILTER (label = 0) FROM labels_) AS odds
-        FROM gains GROUP BY feature),
-    summed AS (SELECT doc_id, sum(odds)::BIGINT AS odds FROM words JOIN odds USING (feature) GROUP BY doc_id),
+        FROM gains GROUP BY feature HAVING max(n) FILTER (label = 1) >= 5),
+    summed AS (
+        SELECT doc_id, sum(odds.odds)::BIGINT AS odds FROM words JOIN odds USING (feature) WHERE odds >= 2000
+        GROUP BY doc_id),
     judged AS (
         SELECT doc_id, CASE WHEN text IS NOT NULL THEN
-            round(1 / (1 + exp(-greatest(least(coalesce(odds, 0) / 1000, 30), -30))), 6) END::DOUBLE AS risk_score
+            round(1 / (1 + exp(-greatest(least((coalesce(odds, 0) - 2000) / 1000, 30), -30))), 6) END::DOUBLE AS risk_score
         FROM documents LEFT JOIN summed USING (doc_id))"""
 
 

@@ -57,11 +57,14 @@ def test_learned_toxicity(spark, joins):
     df = spark.createDataFrame([*rows, (90, None, 1), (91, "you", None)], "id long, text string, label int")
     asked = spark.createDataFrame([(0, "SCUM!"), (1, "my"), (2, "other"), (3, None), (4, "")], "id long, text string")
     model = bayes.train_toxicity(df, "text", "label")
-    found = {row.id: row for row in bayes.toxicity_by_words(asked, "id", "text", model).collect()}
-    assert found[0].risk_score > 0.9 and found[1].risk_score < 0.1
+    plain = {"least": 1, "strength": -(10**6), "prior": 0}
+    found = {row.id: row for row in bayes.toxicity_by_words(asked, "id", "text", model, **plain).collect()}
+    assert found[0].risk_score > 0.9 and found[1].risk_score == 0.5
     assert (found[2].risk_score, found[4].risk_score, found[3].risk_score) == (0.5, 0.5, None)
     one = bayes.train_toxicity(df.filter("label = 1"), "text", "label")
-    assert {r.risk_score for r in bayes.toxicity_by_words(asked, "id", "text", one).collect()} == {0.5, None}
+    assert {r.risk_score for r in bayes.toxicity_by_words(asked, "id", "text", one, prior=0).collect()} == {0.5, None}
+    sure = bayes.toxicity_by_words(asked, "id", "text", model, strength=500).orderBy("id").collect()
+    assert [row.is_valid for row in sure] == [False, True, True, None, True]
 
 
 def test_induced_lexicon(spark, texts, joins):

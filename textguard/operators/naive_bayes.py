@@ -21,7 +21,8 @@ GRAM = 3
 
 class Model(NamedTuple):
     """``gains`` (feature, entries): per label what a feature adds to the score of one that was
-    never seen with it; ``labels`` (label, unseen): what such a one scores."""
+    never seen with it, and how often it was seen; ``labels`` (label, unseen): what such a one
+    scores."""
 
     gains: DataFrame
     labels: DataFrame
@@ -44,7 +45,7 @@ def train(features: DataFrame, label: str = "label", feature: str = "feature") -
         labels = stage(sums.select("label", unseen.alias("unseen")), "bayes-labels", keep=True)
         chance = F.floor(1000 * F.ln((F.col("n") + 1) / F.col("size"))).cast("long")
         gains = counts.join(F.broadcast(sums), "label").select(
-            "feature", F.struct("label", (chance - unseen).alias("gain")).alias("entry")
+            "feature", F.struct("label", (chance - unseen).alias("gain"), "n").alias("entry")
         )
         gains = gains.groupBy("feature").agg(F.array_sort(F.collect_list("entry")).alias("entries"))
         return Model(stage(gains, "bayes-gains", keep=True), labels)
@@ -129,11 +130,22 @@ def train_toxicity(labelled: DataFrame, text: str, label: str) -> Model:
     return train(word_features(labelled, text, label), label)
 
 
-def toxicity_by_words(df: DataFrame, key: str, text: str, model: Model, threshold: float = 0.5) -> DataFrame:
-    """(key, is_valid, risk_score): the chance of label 1 against label 0, with equal odds before.
-
-    Words that neither label has say nothing. Texts without known words, and models that lack a
-    label, give one half; NULL texts have no verdict.
+def toxicity_by_words(
+    df: DataFrame,
+    key: str,
+    text: str,
+    model: Model,
+    threshold: float = 0.5,
+    least: int = 5,
+    strength: int = 2000,
+    prior: int = -2000,
+) -> DataFrame:
+    """(key, is_valid, risk_score): the chance of label 1 against label 0.
+
+    Evidence are words that at least ``least`` texts of label 1 hold and whose odds for it are
+    ``strength`` thousandths of a nat or more; the many words that lean to a side by chance would
+    outweigh them in a long text. ``prior`` are the odds of a text without evidence. Models that
+    lack a label have no evidence; NULL texts have no verdict.
     """
     feature = word_features(df.filter(F.col(text).isNotNull()), text, key)
     bases = model.labels.agg(
@@ -146,7 +158,9 @@ def toxicity_by_words(df: DataFrame, key: str, text: str, model: Model, threshol
         mine = F.filter("entries", lambda entry: entry["label"] == value)
         return F.coalesce(F.get(mine, F.lit(0))["gain"], F.lit(0))
 
-    odds = model.gains.select("feature", (gain(1) - gain(0) + base).alias("odds"))
+    toxic = F.filter("entries", lambda entry: (entry["label"] == 1) & (entry["n"] >= least))
+    odds = model.gains.filter(F.size(toxic) > 0).select("feature", (gain(1) - gain(0) + base).alias("odds"))
+    odds = odds.filter(F.lit(both) & (F.col("odds") >= strength))
 
     def counts() -> tuple[DataFrame, str]:
         return feature.groupBy("feature").agg(F.count(F.lit(1)).alias("n")), "n"
@@ -156,7 +170,7 @@ def toxicity_by_words(df: DataFrame, key: str, text: str, model: Model, threshol
         summed = met.groupBy(key).agg(F.sum("odds").alias("odds"))
         summed = stage(summed, "bayes-summed", keep=True)
     joined = df.select(key, F.col(text).isNotNull().alias("known")).join(summed, key, "left")
-    odds_of = F.coalesce("odds", F.lit(0)) if both else F.lit(0)
+    odds_of = F.coalesce("odds", F.lit(0)) + prior
     clipped = F.greatest(F.least(odds_of / 1000, F.lit(30.0)), F.lit(-30.0))
     risk = F.when(F.col("known"), F.round(1 / (1 + F.exp(-clipped)), 6))
     return joined.select(key, (risk < threshold).alias("is_valid"), risk.alias("risk_score"))
