@@ -171,34 +171,41 @@ def estimate(
 def judge(measured: DataFrame) -> DataFrame:
     """Add ``base_failed``, ``posterior`` and ``kept`` to rows that ``measure`` made.
 
-    The rows are grouped by their votes, at most 2 to the power of the number of
-    rules (2,048) patterns whatever the size of the table; EM runs over these counts
+    The rows are grouped by their votes and base rule, at most 2 to the power of the number of
+    rules (2,048) patterns, twice, whatever the size of the table; EM runs over these counts
     on the driver and the chances come back as a broadcast table of as many rows.
     """
     spark = measured.sparkSession
-    marked = measured.withColumn("__votes", F.array_join(votes(F.col("measured")), ","))
+    # Votes and base rule come from one look at the measures, and the verdicts from the table
+    # joined by them, so that no filter on a verdict measures the texts again.
+    seen = bind(
+        F.col("measured"),
+        lambda m: F.concat(F.array_join(votes(m), ","), F.when(base_failed(m), ";failed").otherwise(";passed")),
+    )
+    marked = measured.withColumn("__votes", seen)
     counted = sorted(
         (row["__votes"], row["n"])
         for row in marked.groupBy("__votes").agg(F.count(F.lit(1)).alias("n")).collect()
     )
-    patterns = [([int(vote) for vote in key.split(",")], n) for key, n in counted]
+    totals: dict[str, int] = {}
+    for key, n in counted:
+        votes_cast = key.split(";")[0]
+        totals[votes_cast] = totals.get(votes_cast, 0) + n
+    patterns = [([int(vote) for vote in key.split(",")], n) for key, n in sorted(totals.items())]
     chances = estimate(patterns, [accuracy for _, _, accuracy in RULES])
-    table = ";".join(f"{key}={chance!r}" for (key, _), chance in zip(counted, chances, strict=True))
+    by_votes = dict(zip(sorted(totals), chances, strict=True))
+    table = "|".join(f"{key}={by_votes[key.split(';')[0]]!r}" for key, _ in counted)
     known = (
         spark.range(1)
-        .select(F.explode(F.split(F.lit(table), ";")).alias("pair"))
+        .select(F.explode(F.split(F.lit(table), r"\|")).alias("pair"))
         .select(
             F.substring_index("pair", "=", 1).alias("__votes"),
             F.expr("try_cast(substring_index(pair, '=', -1) as double)").alias("posterior"),
+            F.contains("pair", F.lit(";failed")).alias("base_failed"),
         )
     )
-    failed = base_failed(F.col("measured"))
-    return (
-        marked.join(F.broadcast(known), "__votes", "left")
-        .drop("__votes")
-        .withColumn("base_failed", failed)
-        .withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= 0.5))
-    )
+    joined = marked.join(F.broadcast(known), "__votes", "left").drop("__votes")
+    return joined.withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= 0.5))
 
 
 def quality_rules(docs: DataFrame, text: str = "text", carry: Sequence[str] = ("doc_id",)) -> DataFrame:
