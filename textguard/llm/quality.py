@@ -182,7 +182,8 @@ def judge(measured: DataFrame) -> DataFrame:
         F.col("measured"),
         lambda m: F.concat(F.array_join(votes(m), ","), F.when(base_failed(m), ";failed").otherwise(";passed")),
     )
-    marked = measured.withColumn("__votes", seen)
+    # A key that cannot be NULL: else the join would test it below the projection, that is, twice.
+    marked = measured.withColumn("__votes", F.coalesce(seen, F.lit("")))
     counted = sorted(
         (row["__votes"], row["n"])
         for row in marked.groupBy("__votes").agg(F.count(F.lit(1)).alias("n")).collect()
