@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from registry import query
 from registry import sql
 from textguard.operators import dictionary
-from textguard.operators.rule import scan
 from textguard.sources.tables import table, text_table
 
 TOKEN = sql.quoted(dictionary.TOKEN)
@@ -106,8 +105,7 @@ def dictionary_counts(spark, folder):
 )
 def dictionary_redact(spark, folder):
     docs = text_table(spark, folder, "documents", "doc_id", "text")
-    rule = dictionary.dictionary_rule("known", dictionary_terms(spark, folder))
-    return scan(docs, "text", rule).select(
+    return dictionary.redact_terms(docs, "text", dictionary_terms(spark, folder)).select(
         "doc_id",
         "known.sanitized",
         "known.is_valid",

@@ -9,7 +9,7 @@ the left holds.
 from __future__ import annotations
 
 import sys
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -17,11 +17,12 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textguard.functions import batches
 from textguard.functions import text as tx
 from textguard.functions import trie
-from textguard.operators.rule import Rule, flag
+from textguard.operators.rule import Rule, flag, scan
 from textguard.plans.skew import spread_join
-from textguard.session import scratch, stage
+from textguard.session import is_small, scratch, stage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -29,7 +30,11 @@ TOKEN = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]"
 PIECE = rf"\s*(?:{TOKEN})"
 TRIE_TERMS = 200_000
 TRIE_CHARS = 8_000_000
+HASHED_TERMS = 10_000_000
 FOUND = "struct<codes:array<int>,terms:array<string>,labels:array<string>>"
+RUN = "struct<place:int,n:int,h:bigint,g:bigint>"
+# Odd factors of the two hashes of a run of tokens.
+FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
 def tokens(text: Column, case_sensitive: bool = False) -> Column:
@@ -136,17 +141,25 @@ def dictionary_rule(
     """
     dictionary = stage(prepared(terms, term, label, case_sensitive), "dictionary")
     if not fits_a_trie(dictionary):
-        raise ValueError(f"over {TRIE_TERMS} terms or {TRIE_CHARS} characters: use find_terms")
-    match = matcher(dictionary)
+        raise ValueError(f"over {TRIE_TERMS} terms or {TRIE_CHARS} characters: use redact_terms or find_terms")
+    return _trie_rule(name, dictionary, case_sensitive, mark)
+
+
+def _rule(name: str, measure, mark: str) -> Rule:
     return Rule(
         name,
         lambda found: flag(F.size(found["terms"]) > 0),
-        measure=lambda text: match(tokens(text, case_sensitive)),
+        measure=measure,
         details={"terms": lambda found: found["terms"]},
         repair=lambda text, found: masked(text, found, mark),
     )
 
 
+def _trie_rule(name: str, dictionary: DataFrame, case_sensitive: bool, mark: str) -> Rule:
+    match = matcher(dictionary)
+    return _rule(name, lambda text: match(tokens(text, case_sensitive)), mark)
+
+
 def _hits_by_trie(df: DataFrame, key: str, text: str, dictionary: DataFrame, case: bool) -> DataFrame:
     match = matcher(dictionary)
     found = df.select(key, match(tokens(F.col(text), case)).alias("found"))
@@ -173,6 +186,129 @@ def _chooser(column: pa.Array) -> pa.Array:
     return pa.array(out, column.type)
 
 
+def _run_hashes(flat: np.ndarray, size: int) -> list[np.ndarray]:
+    """Two hashes of the run of so many tokens from each place on, of 64 bits each."""
+    out = []
+    for factor in FACTORS:
+        run = np.zeros(max(len(flat) - size + 1, 0), np.uint64)
+        for step in range(size):
+            token = flat[step : step + len(run)]
+            run = run * np.uint64(factor) + (token ^ (token >> np.uint64(factor & 31)))
+        out.append((run ^ (run >> np.uint64(29))) * np.uint64(factor))
+    return out
+
+
+def _token_hashes(words: Column) -> Column:
+    return F.transform(words, lambda token: F.xxhash64(token))
+
+
+def _hashed(dictionary: DataFrame) -> DataFrame:
+    """(run, term, label) of a prepared dictionary."""
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            lists = batch.column(0)
+            flat, count = lists.flatten().to_numpy().view(np.uint64), batches.sizes(lists)
+            start = np.cumsum(count) - count
+            hashes = np.zeros((2, len(count)), np.uint64)
+            for size in np.unique(count).tolist():
+                rows = np.flatnonzero(count == size)
+                for at, each in enumerate(_run_hashes(flat, size)):
+                    hashes[at, rows] = each[start[rows]]
+            runs = [pa.array(np.zeros(len(count), np.int32)), pa.array(count.astype(np.int32))]
+            runs += [pa.array(each.view(np.int64)) for each in hashes]
+            runs = pa.StructArray.from_arrays(runs, ["place", "n", "h", "g"])
+            yield pa.RecordBatch.from_arrays([runs, batch.column(1), batch.column(2)], ["run", "term", "label"])
+
+    listed = dictionary.select(_token_hashes(F.col("tokens")), "term", "label")
+    types = ",".join(f"{name} {dictionary.schema[name].dataType.simpleString()}" for name in ("term", "label"))
+    return listed.mapInArrow(run, f"run {RUN},{types}").selectExpr(
+        "run.n AS n", "run.h AS h", "run.g AS g", "term", "label"
+    )
+
+
+def _kept(longest: np.ndarray) -> np.ndarray:
+    """Places of the terms that stay when read from the left."""
+    out, free = [], 0
+    for place in np.flatnonzero(longest).tolist():
+        if place >= free:
+            out.append(place)
+            free = place + int(longest[place])
+    return np.array(out, np.int64)
+
+
+def _run_finder(lookup: DataFrame):
+    """A column function from tokens to the runs that are terms, the longest at each place and without
+    overlap. The tasks get two hashes per term, sorted by the first; texts stay in their rows."""
+    found = lookup.select("n", "h", "g").toArrow()
+    columns = [found[name].combine_chunks().to_numpy() for name in ("n", "h", "g")]
+    sizes = np.unique(columns[0]).tolist()
+    h, g = columns[1].view(np.uint64), columns[2].view(np.uint64)
+    order = np.lexsort((g, h))
+    held = lookup.sparkSession.sparkContext.broadcast((sizes, h[order], g[order]))
+
+    def find(column: pa.Array) -> pa.Array:
+        sizes, first, second = held.value
+        # A table by leading bits tells most runs that are no terms.
+        bits = max(10, int(8 * len(first)).bit_length())
+        shift = np.uint64(64 - bits)
+        seen = np.zeros(1 << bits, bool)
+        seen[first >> shift] = True
+        out = []
+        for lists in batches.slices(column):
+            flat, count = lists.flatten().to_numpy().view(np.uint64), batches.sizes(lists)
+            left = np.repeat(np.cumsum(count), count) - np.arange(len(flat))
+            longest = np.zeros(len(flat), np.int32)
+            hashes = np.zeros((2, len(flat)), np.uint64)
+            for size in sizes:
+                h, g = _run_hashes(flat, size)
+                some = np.flatnonzero(seen[h >> shift] & (left[: len(h)] >= size))
+                h, g = h[some], g[some]
+                at = np.searchsorted(first, h)
+                hit = np.zeros(len(some), bool)
+                open_ = np.flatnonzero(at < len(first))
+                while len(open_):
+                    # Terms that agree in the first hash stand side by side.
+                    open_ = open_[first[at[open_]] == h[open_]]
+                    hit[open_] |= second[at[open_]] == g[open_]
+                    at[open_] += 1
+                    open_ = open_[~hit[open_] & (at[open_] < len(first))]
+                places = some[hit]
+                longest[places] = size
+                hashes[0, places], hashes[1, places] = h[hit], g[hit]
+            places = _kept(longest)
+            ends = np.cumsum(count)
+            row = np.searchsorted(ends, places, "right")
+            place = (places - (ends - count)[row]).astype(np.int32)
+            runs = [place, longest[places], *(each[places].view(np.int64) for each in hashes)]
+            runs = pa.StructArray.from_arrays([pa.array(each) for each in runs], ["place", "n", "h", "g"])
+            known = lists.is_valid().to_numpy(zero_copy_only=False)
+            out.append(batches.listed(runs, np.bincount(row, minlength=len(count)), known))
+        kind = pa.struct([("place", pa.int32()), ("n", pa.int32()), ("h", pa.int64()), ("g", pa.int64())])
+        return pa.concat_arrays([pa.array([], pa.list_(kind)), *out])
+
+    finder = F.arrow_udf(find, f"array<{RUN}>")
+    return lambda words: finder(_token_hashes(words))
+
+
+def _named(rows: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Rows with ``run``, staged, joined with the terms of their runs."""
+    rows = stage(rows.select("*", F.struct("run.n", "run.h", "run.g").alias("__term")), "dictionary-found")
+    lookup = lookup.select(F.struct("n", "h", "g").alias("__term"), "term", "label")
+
+    def counts() -> tuple[DataFrame, str]:
+        return rows.groupBy("__term").agg(F.count(F.lit(1)).alias("n")), "n"
+
+    keys = [name for name in rows.columns if name not in ("run", "__term")]
+    return spread_join(rows, lookup, "__term", counts, [*keys, "run.place"]).drop("__term")
+
+
+def _hits_by_hash(df: DataFrame, key: str, text: str, dictionary: DataFrame, case: bool) -> DataFrame:
+    lookup = stage(_hashed(dictionary), "dictionary-hashes")
+    runs = _run_finder(lookup)(tokens(F.col(text), case))
+    return _named(df.select(key, F.explode(runs).alias("run")), lookup).select(key, "run.place", "term", "label")
+
+
 def _hits_by_join(df: DataFrame, key: str, text: str, dictionary: DataFrame, case: bool) -> DataFrame:
     """Runs of tokens meet the dictionary by two hashes; texts are not shuffled."""
 
@@ -227,16 +363,73 @@ def find_terms(
     """(key, place, term, label): every term in every text, by the number of its first token.
 
     The key identifies rows. A dictionary that fits is sent to the tasks as a trie and the
-    texts are read once, without a shuffle. A longer one is joined with the hashed runs of
-    tokens of each length that the dictionary has; what is shuffled are runs and hits.
+    texts are read once, without a shuffle. Of a longer one the tasks get two hashes per term,
+    and what is shuffled are hits, to meet their terms. One of over HASHED_TERMS terms is joined
+    with the hashed runs of tokens of each length that it has; what is shuffled are runs and hits.
     NULL and empty texts hold no terms; NULL and empty terms are none.
     """
     with scratch(df.sparkSession):
         dictionary = stage(prepared(terms, term, label, case_sensitive), "dictionary")
-        find = _hits_by_trie if fits_a_trie(dictionary) else _hits_by_join
+        short = fits_a_trie(dictionary)
+        find = _hits_by_trie if short else _hits_by_hash if is_small(dictionary, HASHED_TERMS) else _hits_by_join
         return stage(find(df, key, text, dictionary, case_sensitive), "dictionary-hits", keep=True)
 
 
+def _token_codes(places: pa.Array, sizes: pa.Array, count: pa.Array) -> pa.Array:
+    """Per token 1 at the head of a term, -1 within one, else 0."""
+    out = []
+    for heads, spans, n in zip(places.to_pylist(), sizes.to_pylist(), count.to_pylist()):
+        codes = [0] * n if n is not None and n >= 0 else None
+        for head, span in zip(heads, spans):
+            codes[head : head + span] = [1] + [-1] * (span - 1)
+        out.append(codes)
+    return pa.array(out, pa.list_(pa.int32()))
+
+
+def redact_terms(
+    df: DataFrame,
+    text: str,
+    terms: DataFrame,
+    name: str = "known",
+    term: str = "term",
+    label: str = "label",
+    case_sensitive: bool = False,
+    mark: str = "<{label}>",
+) -> DataFrame:
+    """Add the verdict of ``dictionary_rule`` for dictionaries of any length.
+
+    One that fits a trie is scanned as that rule. Of a longer one the hits of each row, which gets
+    a number for it, are named by a join and come back to the row.
+    """
+    dictionary = stage(prepared(terms, term, label, case_sensitive), "dictionary")
+    if fits_a_trie(dictionary):
+        return scan(df, text, _trie_rule(name, dictionary, case_sensitive, mark))
+    rows = stage(df.withColumn("__row", F.monotonically_increasing_id()), "dictionary-rows")
+    if is_small(dictionary, HASHED_TERMS):
+        lookup = stage(_hashed(dictionary), "dictionary-hashes")
+        runs = _run_finder(lookup)(tokens(F.col(text), case_sensitive))
+        hits = _named(rows.select("__row", F.explode(runs).alias("run")), lookup)
+        hits = hits.select("__row", "run.place", "run.n", "term", "label")
+    else:
+        size = F.size(tokens(F.col("term"), case_sensitive)).alias("n")
+        hits = _hits_by_join(rows, "__row", text, dictionary, case_sensitive)
+        hits = hits.select("__row", "place", size, "term", "label")
+    listed = hits.groupBy("__row").agg(
+        F.array_sort(F.collect_list(F.struct("place", "n", "term", "label"))).alias("hits")
+    )
+    nothing = F.array().cast(listed.schema["hits"].dataType)
+    joined = rows.join(listed, "__row", "left").withColumn("__hits", F.coalesce("hits", nothing))
+    codes = F.arrow_udf(_token_codes, "array<int>")
+    count = F.size(tokens(F.col(text), case_sensitive))
+    found = F.struct(
+        codes(F.col("__hits.place"), F.col("__hits.n"), count).alias("codes"),
+        F.col("__hits.term").alias("terms"),
+        F.col("__hits.label").alias("labels"),
+    )
+    known = F.when(F.col(text).isNotNull(), found)
+    return scan(joined, text, _rule(name, lambda _: known, mark)).drop("__row", "hits", "__hits")
+
+
 def term_counts(hits: DataFrame, by: Sequence[str] = ("label", "term")) -> DataFrame:
     """Texts and places per term."""
     key = [name for name in hits.columns if name not in ("place", "term", "label")][0]
