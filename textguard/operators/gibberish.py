@@ -12,15 +12,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textguard.functions import batches
 from textguard.functions import text as tx
 
 ALPHABET = " abcdefghijklmnopqrstuvwxyz"
 PAIRS = [a + b for a in ALPHABET for b in ALPHABET]
 MAX_LANGUAGES = 1000
 MIN_LETTERS = 20
+SLICE_CHARS = 2_000_000
 REPEAT_SHARE = 0.2
 GAP = len(ALPHABET)
 CODES = np.full(128, GAP, dtype=np.int64)
@@ -46,12 +49,14 @@ def count_pairs(corpus: DataFrame, lang: str, text: str) -> DataFrame:
 
     def batch_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for name, texts in batch.groupby("lang")["letters"]:
+            cut = batch["letters"].str.len().cumsum() // SLICE_CHARS
+            for (name, _), texts in batch.groupby(["lang", cut.rename("cut")])["letters"]:
                 counts = np.bincount(_pairs(texts.tolist())[0], minlength=len(PAIRS))
                 seen = counts.nonzero()[0]
-                yield pd.DataFrame(
-                    {"lang": name, "bigram": [PAIRS[i] for i in seen], "n": counts[seen]}
-                )
+                if len(seen):
+                    yield pd.DataFrame(
+                        {"lang": name, "bigram": [PAIRS[i] for i in seen], "n": counts[seen]}
+                    )
 
     prepared = corpus.select(F.col(lang).alias("lang"), letters(F.col(text)).alias("letters"))
     usable = prepared.filter(F.col("lang").isNotNull() & F.col("letters").isNotNull())
@@ -81,26 +86,25 @@ class GibberishModel:
 def _mean_bits(parts: Column, lang: Column, bits: dict[str, np.ndarray]) -> Column:
     """Mean bits per pair for each string of an array; NULL for a string without pairs."""
 
-    @F.pandas_udf("array<double>")
-    def scored(arrays: pd.Series, langs: pd.Series) -> pd.Series:
-        sizes = arrays.map(lambda parts: 0 if parts is None else len(parts)).to_numpy()
-        flat = [part for parts in arrays if parts is not None for part in parts]
-        owner = np.repeat(langs.to_numpy(dtype=object), sizes)
-        means = np.full(len(flat), np.nan)
-        for name, table in bits.items():
-            chosen = np.flatnonzero(owner == name)
-            pairs, number = _pairs([flat[i] for i in chosen])
-            used = np.bincount(number, minlength=len(chosen))
-            total = np.bincount(number, weights=table[pairs], minlength=len(chosen))
-            means[chosen[used > 0]] = total[used > 0] / used[used > 0]
-        ends = np.cumsum(sizes)
-        rows = [
-            [None if np.isnan(mean) else mean for mean in means[end - size : end]]
-            for end, size in zip(ends, sizes)
-        ]
-        return pd.Series(rows, dtype=object)
-
-    return scored(parts, lang)
+    def scored(arrays: pa.Array, langs: pa.Array) -> pa.Array:
+        out, start = [pa.array([], pa.list_(pa.float64()))], 0
+        for lists in batches.slices(arrays, SLICE_CHARS, batches.chars):
+            sizes, flat = batches.sizes(lists), lists.flatten().to_pylist()
+            names = np.array(langs.slice(start, len(lists)).to_pylist(), dtype=object)
+            start += len(lists)
+            owner = np.repeat(names, sizes)
+            means = np.full(len(flat), np.nan)
+            for name, table in bits.items():
+                chosen = np.flatnonzero(owner == name)
+                pairs, number = _pairs([flat[i] for i in chosen])
+                used = np.bincount(number, minlength=len(chosen))
+                total = np.bincount(number, weights=table[pairs], minlength=len(chosen))
+                means[chosen[used > 0]] = total[used > 0] / used[used > 0]
+            values = pa.array(means, mask=np.isnan(means))
+            out.append(batches.listed(values, sizes, np.ones(len(lists), bool)))
+        return pa.concat_arrays(out)
+
+    return F.arrow_udf(scored, "array<double>")(parts, lang)
 
 
 def train_gibberish(corpus: DataFrame, lang: str, text: str) -> GibberishModel:
