@@ -14,13 +14,14 @@ from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from textguard.functions import bpe
+from textguard.functions import batches, bpe
 from textguard.functions import text as tx
 from textguard.operators.rule import Rule, flag
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CHUNKS = "array<struct<chunk:string,n_tokens:int>>"
+SLICE_PIECES = 100_000
 # One encoder per worker process and vocabulary: its memo outlives a batch.
 _encoders: dict[int, bpe.Encoder] = {}
 
@@ -51,8 +52,11 @@ def _encoder(held: Broadcast) -> bpe.Encoder:
 def _per_text(kind: str, arrow: pa.DataType, held: Broadcast, make: Callable) -> Callable[[Column], Column]:
     def run(column: pa.Array) -> pa.Array:
         encoder = _encoder(held)
-        texts = column.to_pylist()
-        return pa.array([None if text is None else make(encoder, text) for text in texts], arrow)
+        out = [pa.array([], arrow)]
+        for texts in batches.slices(column, SLICE_PIECES):
+            made = [None if text is None else make(encoder, text) for text in texts.to_pylist()]
+            out.append(pa.array(made, arrow))
+        return pa.concat_arrays(out)
 
     udf = F.arrow_udf(run, kind)
     return lambda text: udf(pieces(text))
