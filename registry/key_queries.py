@@ -11,8 +11,8 @@ from textguard.plans import key_names as kn
 from textguard.plans import key_paths as kp
 from textguard.plans import key_vectors as kv
 from textguard.plans import standardize as st
-from textguard.session import new_path, spread, stage
-from textguard.sources.json_folder import load_json_folder, parse_documents
+from textguard.session import new_path, spread, spread_rows, stage
+from textguard.sources.json_folder import json_files, parse_documents
 from textguard.sources.tables import table
 
 # One JSON text per row; the same expressions run in Spark and in the oracle.
@@ -35,7 +35,7 @@ DOCUMENTS = {
 def json_rows(spark, folder):
     rows = None
     for name, text in DOCUMENTS.items():
-        some = spread(table(spark, folder, name).selectExpr(f"'{name}' AS path", f"{text} AS j"))
+        some = spread_rows(table(spark, folder, name)).selectExpr(f"'{name}' AS path", f"{text} AS j")
         rows = some if rows is None else rows.union(some)
     return rows
 
@@ -173,22 +173,16 @@ SUPPLIER = """concat('{"suppKey":', s_suppkey, ',"balance":', cast(s_acctbal AS
 def json_folder_load(spark, folder):
     """Writes one file per supplier to the work folder and loads them again."""
     path = new_path(spark, "json")
-    rows = table(spark, folder, "supplier").selectExpr(f"{SUPPLIER} AS value")
-    rows.write.option("maxRecordsPerFile", 1).text(path)
-    good, bad = load_json_folder(spark, path, "part-*")
-    good_keys = good.select(
-        F.try_variant_get("data", "$.suppKey", "bigint").alias("supp_key"), F.lit(True).alias("usable")
+    rows = spread(table(spark, folder, "supplier").selectExpr(f"{SUPPLIER} AS value"))
+    # Tasks put their files in place themselves; the driver would rename one after the other.
+    write = rows.write.option("maxRecordsPerFile", 1)
+    write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(path)
+    good_key = F.try_variant_get("data", "$.suppKey", "bigint")
+    bad_key = F.regexp_extract("value", '"suppKey":([0-9]+)', 1).cast("long")
+    usable = F.col("data").isNotNull()
+    return json_files(spark, path, "part-*").select(
+        F.when(usable, good_key).otherwise(bad_key).alias("supp_key"), usable.alias("usable")
     )
-    texts = spark.read.option("wholetext", True).text(path)
-    bad_keys = (
-        texts.select("value", F.col("_metadata.file_path").alias("file_path"))
-        .join(bad, "file_path")
-        .select(
-            F.regexp_extract("value", '"suppKey":([0-9]+)', 1).cast("long").alias("supp_key"),
-            F.lit(False).alias("usable"),
-        )
-    )
-    return good_keys.union(bad_keys)
 
 
 @query("kv_keys", f"{WITH_KEYS} SELECT key FROM listed")

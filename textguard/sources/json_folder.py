@@ -6,22 +6,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def parse_documents(rows: DataFrame, path: Column, json: Column) -> DataFrame:
+def parse_documents(rows: DataFrame, path: Column, json: Column, *keep: Column) -> DataFrame:
     """(file_path, data VARIANT); data is NULL where the text is no JSON.
 
     Of equal names in one object the last one counts.
     """
     rows.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    return rows.select(path.alias("file_path"), F.try_parse_json(json).alias("data"))
+    return rows.select(path.alias("file_path"), F.try_parse_json(json).alias("data"), *keep)
 
 
-def read_json_folder(
-    spark: SparkSession, folder: str, pattern: str = "*.json"
-) -> tuple[DataFrame, DataFrame]:
-    """All files of one folder level, each one document, and the bad files among
-    them, which have no data.
+def json_files(spark: SparkSession, folder: str, pattern: str = "*.json") -> DataFrame:
+    """(file_path, data, value): all files of one folder level, each one document, with its text.
 
-    No matching file is no error: both tables are then empty.
+    One pass for what asks for good and bad files together.
     """
     files = (
         spark.read.option("wholetext", True)
@@ -29,7 +26,18 @@ def read_json_folder(
         .option("recursiveFileLookup", False)
         .text(folder)
     )
-    parsed = parse_documents(files, F.col("_metadata.file_path"), F.col("value"))
+    return parse_documents(files, F.col("_metadata.file_path"), F.col("value"), F.col("value"))
+
+
+def read_json_folder(
+    spark: SparkSession, folder: str, pattern: str = "*.json"
+) -> tuple[DataFrame, DataFrame]:
+    """All files of one folder level, each one document, and the bad files among
+    them, which have no data.
+
+    No matching file is no error: both tables are then empty.
+    """
+    parsed = json_files(spark, folder, pattern).drop("value")
     return parsed, parsed.filter(F.col("data").isNull()).select("file_path")
 
 
