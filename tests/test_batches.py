@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from textguard import session
 from textguard.functions import batches
-from textguard.operators import dictionary, gibberish, induction, model_tokens
+from textguard.operators import dictionary, gibberish, induction, model_tokens, naive_bayes
 from textguard.sources.json_folder import json_files
 
 
@@ -103,3 +103,21 @@ def test_json_files_are_read_once(spark, tmp_path):
     (tmp_path / "b.json").write_text('{"k":1,')
     rows = json_files(spark, str(tmp_path)).selectExpr("data IS NOT NULL AS good", "value").collect()
     assert sorted(map(tuple, rows)) == [(False, '{"k":1,'), (True, '{"k":1}')]
+
+
+def test_profiles_add_up_in_the_tasks_as_in_a_join(spark, monkeypatch):
+    texts = ["the house and", "das haus und", "\U00010400 zyx", "", None, "the the", "x", "12", "émile né à"] * 3
+    langs = ["en", "de", "xx", "en", "de", "en", None, "de", "fr"] * 3
+    df = spark.createDataFrame(
+        [(i % 20 if i % 7 else None, text, lang) for i, (text, lang) in enumerate(zip(texts, langs))],
+        "id long, text string, lang string",
+    )
+    model = naive_bayes.language_profiles(df, "text", "lang")
+
+    def found():
+        return sorted(map(repr, naive_bayes.detect_by_profile(df, "id", "text", model).collect()))
+
+    in_tasks = found()
+    monkeypatch.setattr(naive_bayes, "PROFILE_GAINS", 0)
+    assert found() == in_tasks
+    assert "'fr'" in str(in_tasks)

@@ -6,17 +6,27 @@ feature and label, so sums are exact in any order and SQL gives the same numbers
 
 from __future__ import annotations
 
+import sys
 from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textguard.functions import batches
 from textguard.functions import text as tx
 from textguard.plans.skew import spread_join
 from textguard.session import scratch, stage
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 UNKNOWN = "und"
 GRAM = 3
+PROFILE_GAINS = 20_000_000
+SLICE_CHARS = 500_000
 
 
 class Model(NamedTuple):
@@ -62,17 +72,30 @@ def scores(features: DataFrame, sizes: DataFrame, model: Model, key: str) -> Dat
         return features.groupBy("feature").agg(F.count(F.lit(1)).alias("n")), "n"
 
     met = spread_join(features, model.gains, "feature", counts, [key])
-    gained = met.select(key, F.inline("entries")).groupBy(key, "label").agg(F.sum("gain").alias("gain"))
+    return _totals(met.select(key, F.inline("entries")), sizes, model, key)
+
+
+def _totals(gains: DataFrame, sizes: DataFrame, model: Model, key: str) -> DataFrame:
+    """(key, label, score) from (key, label, gain) rows."""
+    gained = gains.groupBy(key, "label").agg(F.sum("gain").alias("gain"))
     listed = model.labels.agg(F.array_sort(F.collect_list(F.struct("label", "unseen")))).scalar()
     every = sizes.select(key, "n", F.inline(listed))
     score = F.coalesce("gain", F.lit(0)) + F.col("n") * F.col("unseen")
     return every.join(gained, [key, "label"], "left").select(key, "label", score.cast("long").alias("score"))
 
 
-def _letters(text: Column) -> Column:
-    """The single characters of a lower-cased text in which all but letters is one space."""
+def _plain(text: Column) -> Column:
+    """The lower-cased text in which all but letters is one space, between two of them."""
     plain = F.concat(F.lit(" "), F.regexp_replace(F.lower(text), r"[^\p{L}]+", " "), F.lit(" "))
-    return F.split(F.regexp_replace(plain, " +", " "), "")
+    return F.regexp_replace(plain, " +", " ")
+
+
+def _letters(text: Column) -> Column:
+    return F.split(_plain(text), "")
+
+
+def _count_grams(text: Column) -> Column:
+    return F.coalesce(F.greatest(F.length(_plain(text)) - (GRAM - 1), F.lit(0)), F.lit(0))
 
 
 def letter_grams(text: Column) -> Column:
@@ -95,20 +118,72 @@ def language_profiles(df: DataFrame, text: str, lang: str) -> Model:
     return train(df.select(F.col(lang).alias("label"), F.explode(letter_grams(F.col(text))).alias("feature")))
 
 
+def _codes(texts: list[str]) -> np.ndarray:
+    """Every run of three characters of the joined texts as one number."""
+    points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.int64)
+    return (points[:-2] << 42) | (points[1:-1] << 21) | points[2:]
+
+
+def _gains_per_text(model: Model, names: list[str]):
+    """A column function from plain texts to what their runs add under each label. The tasks get the
+    whole model: a number and a gain per label for each run."""
+    rows = model.gains.select("feature", F.map_from_arrays("entries.label", "entries.gain").alias("gains")).collect()
+    codes = _codes([row.feature for row in rows])[::GRAM]
+    order = np.argsort(codes)
+    gains = np.array([[row.gains.get(name, 0) for row in rows] for name in names], np.int32).reshape(len(names), -1)
+    held = model.gains.sparkSession.sparkContext.broadcast((codes[order], gains[:, order]))
+
+    def score(column: pa.Array) -> pa.Array:
+        known, gains = held.value
+        out = [pa.array([], pa.list_(pa.int64()))]
+        for part in batches.slices(column, SLICE_CHARS, _bytes):
+            texts = [text or "" for text in part.to_pylist()]
+            ends = np.cumsum([len(text) for text in texts])
+            sums = np.zeros((len(texts), len(gains)), np.int64)
+            runs = _codes(texts)
+            if len(runs) and len(known):
+                row = np.searchsorted(ends, np.arange(len(runs)), "right")
+                at = np.minimum(np.searchsorted(known, runs), len(known) - 1)
+                hit = np.flatnonzero((known[at] == runs) & (np.arange(len(runs)) + GRAM <= ends[row]))
+                for number, gain in enumerate(gains):
+                    sums[:, number] = np.bincount(row[hit], gain[at[hit]], len(texts)).astype(np.int64)
+            count = np.full(len(texts), len(gains))
+            out.append(batches.listed(pa.array(sums.ravel()), count, np.ones(len(texts), bool)))
+        return pa.concat_arrays(out)
+
+    return F.arrow_udf(score, "array<bigint>")
+
+
+def _bytes(texts: pa.Array) -> np.ndarray:
+    return pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _profile_scores(rows: DataFrame, key: str, text: str, model: Model) -> DataFrame:
+    """``scores`` of runs of letters, added up in the tasks if the model fits there."""
+    sizes = rows.select(key, _count_grams(F.col(text)).cast("long").alias("n"))
+    names = [row.label for row in model.labels.select("label").limit(PROFILE_GAINS).collect()]
+    if not names or model.gains.count() * len(names) > PROFILE_GAINS:
+        features = rows.select(key, F.explode(letter_grams(F.col(text))).alias("feature"))
+        return scores(features, sizes, model, key)
+    gains = rows.select(key, _gains_per_text(model, names)(_plain(F.col(text))).alias("gains"))
+    kind = model.labels.schema["label"].dataType
+    labels = F.array(*[F.lit(name).cast(kind) for name in names])
+    listed = F.arrays_zip(labels.alias("label"), F.col("gains").alias("gain"))
+    return _totals(gains.select(key, F.inline(listed).alias("label", "gain")), sizes, model, key)
+
+
 def detect_by_profile(df: DataFrame, key: str, text: str, model: Model) -> DataFrame:
     """(key, lang, margin): the likeliest language and how far it leads, in nats per run of letters.
 
     Equal scores go to the first label of the alphabet. A text without three
     characters is of unknown language; a NULL one has none.
     """
-    grams = letter_grams(F.col(text))
-    rows = df.filter(F.col(text).isNotNull())
-    sizes = rows.select(key, F.size(grams).cast("long").alias("n"))
-    found = scores(rows.select(key, F.explode(grams).alias("feature")), sizes, model, key)
+    grams = _count_grams(F.col(text))
+    found = _profile_scores(df.filter(F.col(text).isNotNull()), key, text, model)
     order = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("minus"), "label")))
     ranked = found.groupBy(key).agg(order.alias("ranked"))
     lead = F.get("ranked", F.lit(1))["minus"] - F.get("ranked", F.lit(0))["minus"]
-    joined = df.select(key, F.size(grams).alias("n"), F.col(text).isNotNull().alias("known")).join(ranked, key, "left")
+    joined = df.select(key, grams.alias("n"), F.col(text).isNotNull().alias("known")).join(ranked, key, "left")
     some = F.col("known") & (F.col("n") > 0) & F.col("ranked").isNotNull()
     return joined.select(
         key,
