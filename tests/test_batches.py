@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from textguard import session
 from textguard.functions import batches
-from textguard.operators import dictionary, gibberish, induction, model_tokens, naive_bayes
+from textguard.operators import dictionary, gibberish, induction, model_tokens, naive_bayes, pii
 from textguard.sources.json_folder import json_files
 
 
@@ -121,3 +121,11 @@ def test_profiles_add_up_in_the_tasks_as_in_a_join(spark, monkeypatch):
     monkeypatch.setattr(naive_bayes, "PROFILE_GAINS", 0)
     assert found() == in_tasks
     assert "'fr'" in str(in_tasks)
+
+
+def test_addresses_begin_at_a_word(spark):
+    """Signs in front of an address stay, as a word edge in front of the pattern has it."""
+    texts = ["x [OUT].a.b@c.org", "..%_a@b.org", ".@b.org", "a.b@c.org", "--a-@b.co"]
+    df = spark.createDataFrame([(text,) for text in texts], "text string")
+    masked = df.select(pii.redact_pii(F.col("text"), pii.rules_for(["EMAIL"]))).collect()
+    assert [row[0] for row in masked] == ["x [OUT].<EMAIL>", "..%<EMAIL>", ".@b.org", "<EMAIL>", "--<EMAIL>"]
