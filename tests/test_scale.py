@@ -149,3 +149,12 @@ def test_one_cluster_with_most_keys(spark, large):
     assert sum(row.standard_key == "order_total" for row in mapping) == 300
     parts = key_names.grouped_map(key_names.standard_map(clusters, names), size=50).collect()
     assert sum(len(row["keys"]) for row in parts) == len(keys) and max(len(row["keys"]) for row in parts) < 100
+
+
+def test_rows_are_dealt_out_to_tasks_of_bounded_size(spark):
+    """However many rows a split has, a task of the key queries gets about so many and no more."""
+    rows = spark.range(20_000).coalesce(1)
+    sizes = [r["count"] for r in session.spread_rows(rows, 500).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 40 and max(sizes) <= 520 and sum(sizes) == 20_000
+    few = session.spread_rows(spark.range(3).coalesce(1), 500)
+    assert few.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and few.count() == 3
