@@ -276,3 +276,15 @@ def test_standard_names(texts):
     }
     rows = texts(*cases).orderBy("id").select(key_names.standard_name(F.col("text"))).collect()
     assert [row[0] for row in rows] == list(cases.values())
+
+
+def test_skeleton_keeps_names_and_drops_scalars(spark):
+    texts = {
+        '{"a 1":-1.5e+3,"b":[true,null,"x,y:{}[]",{"d":"q"}],"e":{"f":{}}}': '{"a 1":,"b":[,,,{"d":}],"e":{"f":{}}}',
+        r'{"a:":"b\\","c\"d":[[],["\"}"]],"":""}': '{"a:":,"c\x01d":[[],[]],"":}',
+        '[1,"2",[{}]]': "[,,[{}]]",
+        '"1"': "",
+        "null": "",
+    }
+    df = spark.createDataFrame([(text,) for text in texts], "j string")
+    assert {row.j: row.s for row in df.select("j", key_paths._skeleton(F.col("j")).alias("s")).collect()} == texts
