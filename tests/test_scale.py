@@ -158,3 +158,18 @@ def test_rows_are_dealt_out_to_tasks_of_bounded_size(spark):
     assert len(sizes) == 40 and max(sizes) <= 520 and sum(sizes) == 20_000
     few = session.spread_rows(spark.range(3).coalesce(1), 500)
     assert few.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and few.count() == 3
+
+
+@pytest.mark.parametrize("parts", [200, 16])
+def test_rows_are_dealt_out_without_sorting_a_split(spark, tmp_path, monkeypatch, parts):
+    """A split is neither sorted before it is dealt out nor dealt out to so many tasks that its rows are held."""
+    monkeypatch.setattr(session, "DEALT_PARTS", parts, raising=False)
+    rows = [(None, "same")] * 9_000 + [(i, f"text {i}") for i in range(11_000)]
+    spark.createDataFrame(rows, "id long, text string").coalesce(2).write.parquet(f"{tmp_path}/rows")
+    table = spark.read.parquet(f"{tmp_path}/rows")
+    dealt = session.spread_rows(table, 500)
+    plan = dealt._jdf.queryExecution().executedPlan().toString().lower()
+    assert "roundrobin" not in plan and plan.count("exchange") == (1 if parts == 200 else 2)
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 40 and max(sizes) <= (520 if parts == 200 else 620) and sum(sizes) == 20_000
+    assert dealt.columns == ["id", "text"] and dealt.exceptAll(table).isEmpty() and table.exceptAll(dealt).isEmpty()
