@@ -215,6 +215,24 @@ def test_clusters_match_brute_force(spark, min_samples):
         assert len(set(found.values()) - {-1}) == len({x for x in label if x is not None})
 
 
+def test_terms_are_counted_within_the_row_of_a_name(spark):
+    """No task holds the terms of its names: nothing is grouped, sorted or shuffled."""
+    names = ["", None, "id", "unit price", "unit price unit price", "price price price", "x tax x tax tax", "tax"]
+    names += [" ".join(random.Random(i).choices(WORDS[:6], k=i % 9 + 1)) for i in range(60)]
+    df = spark.createDataFrame([(name, i + 1) for i, name in enumerate(dict.fromkeys(names))], "clean string, n_keys long")
+    counts = key_vectors.term_counts(df)
+    text = counts._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in text and "Exchange" not in text and "Sort " not in text
+    expected = []
+    for i, name in enumerate(dict.fromkeys(names)):
+        words = [w for w in (name or "").split(" ") if len(w) >= 2 and w not in KEY_STOP_WORDS]
+        terms = Counter(words + [f"{a} {b}" for a, b in zip(words, words[1:])])
+        expected += [(name, i + 1, term, tf) for term, tf in terms.items()]
+    assert sorted(map(tuple, counts.collect())) == sorted(expected)
+    assert counts.dtypes == [("clean", "string"), ("n_keys", "bigint"), ("term", "string"), ("tf", "bigint")]
+    assert ("price price price", 6, "price price", 2) in expected
+
+
 def test_similar_names_match_brute_force(spark):
     keys = random_keys(9, 200)
     df = spark.createDataFrame([(key,) for key in keys], "key string")

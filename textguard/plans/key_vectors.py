@@ -48,13 +48,38 @@ def key_terms(clean: Column, stop_words: Sequence[str] = KEY_STOP_WORDS) -> Colu
     return tx.bind(kept, with_pairs)
 
 
+def _counted(terms: Column) -> Column:
+    """(term, tf) of each different term; equal ones are neighbours once sorted."""
+
+    def count(sorted_terms: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(sorted_terms) - 1)
+        first = F.filter(
+            places,
+            lambda at: ~F.get(sorted_terms, at).eqNullSafe(F.get(sorted_terms, at - 1)),
+        )
+
+        def runs(starts: Column) -> Column:
+            ends = F.concat(F.slice(starts, 2, F.size(starts)), F.array(F.size(sorted_terms)))
+            return F.zip_with(
+                starts,
+                ends,
+                lambda start, end: F.struct(
+                    F.get(sorted_terms, start).alias("term"), (end - start).cast("long").alias("tf")
+                ),
+            )
+
+        return F.when(F.size(sorted_terms) > 0, tx.bind(first, runs))
+
+    return tx.bind(F.sort_array(terms), count)
+
+
 def term_counts(names: DataFrame, stop_words: Sequence[str] = KEY_STOP_WORDS) -> DataFrame:
-    """(clean, n_keys, term, tf)"""
-    return (
-        names.select("clean", "n_keys", F.explode(key_terms(F.col("clean"), stop_words)).alias("term"))
-        .groupBy("clean", "n_keys", "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
+    """(clean, n_keys, term, tf). A name comes once, so its terms are counted within its
+    row: a task holds no terms, however many names it has. The outer form and the
+    filter behind it work them out once; ``inline`` would do so for a filter as well.
+    """
+    counted = _counted(key_terms(F.col("clean"), stop_words))
+    return names.select("clean", "n_keys", F.inline_outer(counted)).filter(F.col("term").isNotNull())
 
 
 def vocabulary(names: DataFrame, counts: DataFrame, max_df: float = MAX_DF) -> DataFrame:
